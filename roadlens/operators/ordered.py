@@ -118,9 +118,10 @@ def quantile_bins(
     edges = quantiles(df, value, [i / bins for i in range(1, bins)]).drop("n")
     above = F.lit(1)
     for i in range(bins - 1):
-        above = above + F.when(F.col(value) > F.col(f"q{i}"), 1).otherwise(0)
-    # One row of edges: the size of the broadcast side is fixed by construction.
-    return df.join(F.broadcast(edges)).withColumn(bin_col, above).select(*df.columns, bin_col)
+        above = above + F.when(F.col(value) > F.col(f"_edges.q{i}"), 1).otherwise(0)
+    # The edges are one row: a scalar subquery, no join.
+    with_edges = df.withColumn("_edges", edges.select(F.struct("*")).scalar())
+    return with_edges.withColumn(bin_col, above).drop("_edges")
 
 
 def running_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "roadlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,3 +56,9 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df`` with a broadcast hint when it provably has at most ``max_rows`` rows; beyond that it
+    is left to a shuffled join, where adaptive execution splits hot keys."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
