@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normal_two_sided(z: float) -> float:
@@ -59,17 +60,17 @@ def _safe(fn, *args: float) -> float | None:
     return fn(*args)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _normal(z: pd.Series) -> pd.Series:
     return pd.Series([_safe(normal_two_sided, v) for v in z], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2(x: pd.Series) -> pd.Series:
     return pd.Series([_safe(chi2_one_df, v) for v in x], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _student(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([_safe(student_two_sided, *v) for v in zip(t, df)], dtype="float64")
 

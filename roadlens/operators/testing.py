@@ -148,7 +148,8 @@ def rank_sums(df: DataFrame, arm: str, metrics: Sequence[str]) -> DataFrame:
 
 
 def with_verdict(df: DataFrame, p: str = "p_value", alpha: float = 0.05) -> DataFrame:
-    return df.withColumn("significant", F.col(p) < alpha)
+    """Adds ``significant``; a test without a p-value shows nothing, so it is False."""
+    return df.withColumn("significant", F.coalesce(F.col(p) < alpha, F.lit(False)))
 
 
 def intervention_test(df: DataFrame, arm: str = "intervention_active") -> DataFrame:
