@@ -1,4 +1,4 @@
-from checks import basics, causal, panels, reports, scores  # noqa: F401
+from checks import basics, causal, panels, reports, sampling, scores  # noqa: F401
 from checks.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
