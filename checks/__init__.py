@@ -1,4 +1,13 @@
-from checks import basics, causal, panels, reports, sampling, scores  # noqa: F401
+from checks import (  # noqa: F401
+    basics,
+    causal,
+    modelling,
+    panels,
+    reports,
+    sampling,
+    scores,
+    streams,
+)
 from checks.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

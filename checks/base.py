@@ -40,6 +40,9 @@ stream as (
   from trips where speed > 0)"""
 
 
+_SHARED: dict[tuple, dict[str, DataFrame]] = {}
+
+
 class Context:
     """Input frames of one run; nothing is read before a query asks for it."""
 
@@ -50,6 +53,13 @@ class Context:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def once(self, name: str, build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        """Result tables of a flow that several queries look at; run once per application."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _SHARED:
+            _SHARED[key] = build()
+        return _SHARED[key]
+
     @cached_property
     def trips(self) -> DataFrame:
         return trips(self.spark, self.sf_dir)
