@@ -140,8 +140,10 @@ def rank_sums(df: DataFrame, arm: str, metrics: Sequence[str]) -> DataFrame:
     )
     upper = F.greatest(u, n1 * n0 - u)
     z = F.try_divide(upper - n1 * n0 / 2 - 0.5, spread)
-    one_sided = F.when(z >= 0, tails.normal_p(z)).otherwise(2 - tails.normal_p(z))
-    return summed.select("metric", u.alias("mw_u"), F.least(F.lit(1.0), one_sided).alias("mw_p"))
+    two_sided = F.when(z >= 0, tails.normal_p(z)).otherwise(F.lit(1.0))
+    # No spread at all (every value tied) is no evidence: p is 1.
+    p = F.when(u.isNotNull(), F.coalesce(two_sided, F.lit(1.0)))
+    return summed.select("metric", u.alias("mw_u"), p.alias("mw_p"))
 
 
 # ---------------------------------------------------------------- reports
