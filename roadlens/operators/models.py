@@ -72,14 +72,19 @@ def logistic(
 ):
     """L2 logistic regression with inverse strength ``c``, on encoded ``features``."""
     total = F.count(F.lit(1)).cast("double") if weight is None else F.sum(weight)
-    mass = df.agg(total).first()[0]
-    estimator = LogisticRegression(
-        featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * mass), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter,
-    )
-    if weight is not None:
-        estimator = estimator.setWeightCol(weight)
-    return estimator.fit(df)
+    # The weight total, the feature summary and the solver each pass over the rows.
+    rows = df.select(FEATURES, label, *([weight] if weight else [])).persist()
+    try:
+        mass = rows.agg(total).first()[0]
+        estimator = LogisticRegression(
+            featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * mass), elasticNetParam=0.0,
+            standardization=False, maxIter=max_iter,
+        )
+        if weight is not None:
+            estimator = estimator.setWeightCol(weight)
+        return estimator.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def forest_classifier(df: DataFrame, label: str, size: Forest = Forest(), balanced: bool = True):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions import tails
 from roadlens.functions.derive import risky_event
-from roadlens.operators.aggregates import cell_counts, contingency, long_values, vehicle_summary
+from roadlens.operators.aggregates import contingency, long_values, vehicle_summary
 from roadlens.operators.ordered import quantiles, value_counts
 
 # Fixed value: 97.5 % point of the standard normal.
@@ -73,32 +73,71 @@ def mean_diff_ci(m1: Column, v1: Column, n1: Column, m0: Column, v0: Column, n0:
 # ---------------------------------------------------------------- aggregate passes
 
 
-def _moment_aggs(treated: Column, m: str) -> list[Column]:
-    value = _null_nan(F.col(m).cast("double"))
-    aggs = []
-    for side, chosen in (("t", treated), ("c", ~treated)):
-        v = F.when(chosen, value)
+def arm_records(
+    df: DataFrame, arm: str, means: Sequence[str], rates: Sequence[str] = ()
+) -> DataFrame:
+    """One row per metric with both arms side by side, from one pass over the table.
+
+    ``means`` get n, m (mean) and v (sample variance) per arm t and c; ``rates`` get the cells
+    t1, t0, c1, c0 of event against arm. ``rows_t`` and ``rows_c`` are the arm sizes. The pass
+    groups by the arm itself, so each task hands on one row per arm.
+    """
+    treated = F.col(arm).cast("boolean")
+    known = df.filter(treated.isNotNull())
+    aggs = [F.count(F.lit(1)).alias("arm_rows")]
+    for e in rates:
+        hit = F.col(e).cast("boolean")
+        aggs += [F.count_if(hit).alias(f"hit_{e}"), F.count_if(~hit).alias(f"miss_{e}")]
+    for m in means:
+        value = _null_nan(F.col(m).cast("double"))
         aggs += [
-            F.count(v).alias(f"n_{side}_{m}"),
-            F.avg(v).alias(f"m_{side}_{m}"),
-            F.var_samp(v).alias(f"v_{side}_{m}"),
+            F.count(value).alias(f"n_{m}"),
+            F.avg(value).alias(f"m_{m}"),
+            F.var_samp(value).alias(f"v_{m}"),
         ]
-    return aggs
+    per_arm = known.groupBy(treated.alias("treated")).agg(*aggs)
+
+    none = {kind: F.lit(None).cast(kind) for kind in ("bigint", "double")}
+
+    def record(name: str, hit=None, miss=None, n=None, m=None, v=None) -> Column:
+        return F.struct(
+            F.lit(name).alias("metric"),
+            *[(none["bigint"] if c is None else F.col(c)).alias(a)
+              for a, c in (("hit", hit), ("miss", miss), ("n", n))],
+            *[(none["double"] if c is None else F.col(c)).alias(a) for a, c in (("m", m), ("v", v))],
+        )
+
+    records = [record(e, hit=f"hit_{e}", miss=f"miss_{e}") for e in rates] + [
+        record(m, n=f"n_{m}", m=f"m_{m}", v=f"v_{m}") for m in means
+    ]
+    long = per_arm.select("treated", "arm_rows", F.inline(F.array(*records)))
 
+    def side(column: str, is_treated: bool) -> Column:
+        chosen = F.col("treated") if is_treated else ~F.col("treated")
+        return F.max(F.when(chosen, F.col(column)))
 
-def _arm_sizes(treated: Column) -> list[Column]:
-    return [F.count_if(treated).alias("rows_t"), F.count_if(~treated).alias("rows_c")]
+    def size(column: str, is_treated: bool) -> Column:
+        return F.coalesce(side(column, is_treated), F.lit(0).cast("bigint"))
+
+    # An arm without rows counts zero; a metric that is no rate has no cells.
+    def cell(column: str, is_treated: bool) -> Column:
+        return F.when(F.count("hit") > 0, size(column, is_treated))
+
+    def number(is_treated: bool) -> Column:
+        return F.when(F.count("n") > 0, size("n", is_treated))
+
+    return long.groupBy("metric").agg(
+        size("arm_rows", True).alias("rows_t"), size("arm_rows", False).alias("rows_c"),
+        cell("hit", True).alias("t1"), cell("miss", True).alias("t0"),
+        cell("hit", False).alias("c1"), cell("miss", False).alias("c0"),
+        number(True).alias("n_t"), side("m", True).alias("m_t"), side("v", True).alias("v_t"),
+        number(False).alias("n_c"), side("m", False).alias("m_c"), side("v", False).alias("v_c"),
+    )
 
 
 def moments(df: DataFrame, arm: str, metrics: Sequence[str]) -> DataFrame:
     """metric, n_t, m_t, v_t, n_c, m_c, v_c and the arm sizes, from one pass over the table."""
-    treated = F.col(arm).cast("boolean")
-    wide = df.agg(*_arm_sizes(treated), *[a for m in metrics for a in _moment_aggs(treated, m)])
-    rows = [
-        F.struct(F.lit(m).alias("metric"), *[F.col(f"{f}_{m}").alias(f) for f in MOMENTS])
-        for m in metrics
-    ]
-    return wide.select("rows_t", "rows_c", F.inline(F.array(*rows)))
+    return arm_records(df, arm, metrics).select("rows_t", "rows_c", "metric", *MOMENTS)
 
 
 def rank_sums(df: DataFrame, arm: str, metrics: Sequence[str]) -> DataFrame:
@@ -184,27 +223,7 @@ def ab_report(
     All cells and moments of both arms come from one pass; the rank test adds one more over the
     mean metrics only.
     """
-    treated = F.col(arm).cast("boolean")
-    wide = df.agg(
-        *_arm_sizes(treated),
-        *[a for e in rates for a in cell_counts(treated, e)],
-        *[a for m in means for a in _moment_aggs(treated, m)],
-    )
-
-    def record(name: str, present: Sequence[str]) -> Column:
-        counts = [
-            (F.col(f"{f}_{name}") if f in present else F.lit(None).cast("bigint")).alias(f)
-            for f in (*CELLS, "n_t", "n_c")
-        ]
-        shape = [
-            (F.col(f"{f}_{name}") if f in present else F.lit(None).cast("double")).alias(f)
-            for f in ("m_t", "v_t", "m_c", "v_c")
-        ]
-        return F.struct(F.lit(name).alias("metric"), *counts, *shape)
-
-    records = [record(e, CELLS) for e in rates] + [record(m, MOMENTS) for m in means]
-    long = wide.select("rows_t", "rows_c", F.inline(F.array(*records)))
-
+    long = arm_records(df, arm, means, rates)
     t1, t0, c1, c0 = (F.col(c) for c in CELLS)
     m1, v1, n1, m0, v0, n0 = (F.col(f"{s}_{a}") for a in "tc" for s in "mvn")
     is_rate = F.col("metric").isin(list(rates))

@@ -59,6 +59,12 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``df`` with a broadcast hint when it provably has at most ``max_rows`` rows; beyond that it
-    is left to a shuffled join, where adaptive execution splits hot keys."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """A lookup table as a broadcast side when it provably has at most ``max_rows`` rows.
+
+    The check fetches one row more than the bound; a table within it is not computed again. Beyond
+    it ``df`` is left to a shuffled join, where adaptive execution splits hot keys.
+    """
+    found = df.limit(max_rows + 1).toArrow()
+    if found.num_rows > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))

@@ -43,11 +43,11 @@ def decode(df: DataFrame, schema: T.StructType | str, keep: Sequence[str] = ())
     """Columns of the JSON text in ``value``.
 
     A malformed record gives NULL in every column, a field of the wrong type NULL in its own;
-    NaN becomes NULL.
+    NaN becomes NULL. The record is unpacked by a generator, which no later filter can be moved
+    below: otherwise every filter on a field would parse the text once more.
     """
     parsed = F.from_json(F.col("value").cast("string"), schema)
-    rows = df.select(*keep, parsed.alias("record")).select(*keep, "record.*")
-    return nan_to_null(rows)
+    return nan_to_null(df.select(*keep, F.inline(F.array(parsed))))
 
 
 def decode_trips(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
