@@ -150,6 +150,15 @@ def _(c: Context):
     )
 
 
+@check(
+    "f9_last_hours",
+    "select trip_key, \"timestamp\" from stream where \"timestamp\" between"
+    " timestamp '1998-07-01 12:00:00' - interval 6 hours and timestamp '1998-07-01 12:00:00'",
+)
+def _(c: Context):
+    return rules.recent(c.stream, 6, "1998-07-01 12:00:00").select("trip_key", "timestamp")
+
+
 @check(
     "f10_arm_split",
     f"""select intervention_active, {r6('avg(fuel_rate_l_per_100km)')} as mean,

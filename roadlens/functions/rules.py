@@ -70,6 +70,12 @@ def time_range(df: DataFrame, start=None, end=None, ts: str = "timestamp") -> Da
     return df
 
 
+def recent(df: DataFrame, hours: int = 6, now=None, ts: str = "timestamp") -> DataFrame:
+    """The dashboards' default range: the last ``hours`` before ``now`` (the clock if not given)."""
+    end = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    return df.filter(F.col(ts).between(end - F.expr(f"interval {int(hours)} hours"), end))
+
+
 def complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a value (neither NULL nor NaN) in all ``columns``."""
     return df.dropna(how="any", subset=list(columns))

@@ -12,6 +12,7 @@ from roadlens.functions import tails
 from roadlens.functions.derive import risky_event
 from roadlens.operators.aggregates import contingency, long_values, vehicle_summary
 from roadlens.operators.ordered import quantiles, value_counts
+from roadlens.session import durable
 
 # Fixed value: 97.5 % point of the standard normal.
 Z_95 = 1.959963984540054
@@ -316,7 +317,8 @@ def _predictive_arm(df: DataFrame, c: str) -> DataFrame:
 
 def maintenance_report(df: DataFrame) -> DataFrame:
     """Predictive against scheduled maintenance at vehicle and at record grain."""
-    vehicles = _predictive_arm(vehicle_summary(df), "maintenance_type_mode")
+    # Moments and ranks both read the vehicle rows; the trips behind them are read once.
+    vehicles = _predictive_arm(durable(vehicle_summary(df)), "maintenance_type_mode")
     records = _predictive_arm(df, "maintenance_type").withColumn(
         "breakdown_event", F.col("breakdown_event").cast("boolean").cast("int")
     )
@@ -335,7 +337,7 @@ def maintenance_report(df: DataFrame) -> DataFrame:
 
 def savings_estimate(df: DataFrame) -> DataFrame:
     """Hours saved per record and per 1000 records by moving to predictive maintenance."""
-    vehicles = vehicle_summary(df)
+    vehicles = durable(vehicle_summary(df))
     size = vehicles.agg(F.avg("n_records").alias("avg_records_per_vehicle"))
     m1, v1, n1, m0, v0, n0 = (F.col(f"{s}_{a}") for a in "tc" for s in "mvn")
     low, high = mean_diff_ci(m1, v1, n1, m0, v0, n0)
