@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.trips import TRIPS_CTE, trips
+from checks.trips import TRIPS_CTE, stored, trips
 from roadlens.functions import derive, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,9 +69,15 @@ class Context:
         return rules.keep_valid(self.trips)
 
     @cached_property
-    def clean(self) -> DataFrame:
+    def cleaned_now(self) -> DataFrame:
+        """Validity rules and cleaning applied to the raw trips within the query itself."""
         return derive.clean(self.valid)
 
+    @cached_property
+    def clean(self) -> DataFrame:
+        """The cleaned table, stored once per application, as the analyses find it."""
+        return stored(self.spark, self.sf_dir, "cleaned", lambda: self.cleaned_now)
+
     @cached_property
     def stream(self) -> DataFrame:
         return derive.stream_transform(self.trips)

@@ -42,7 +42,7 @@ def _(c: Context):
     keep_digits=True,
 )
 def _(c: Context):
-    return c.clean.select(
+    return c.cleaned_now.select(
         "trip_key", "vehicle_id", "driver_id", "timestamp", "hour_of_day", "weather", "road_type",
         "traffic_density", "driver_training", "maintenance_type", "vehicle_age_group",
         "fuel_efficiency_l_per_km", "downtime_flag",
@@ -423,7 +423,7 @@ def _(c: Context):
 from clean group by event_type""",
 )
 def _(c: Context):
-    return aggregates.event_summary(c.clean)
+    return aggregates.event_summary(c.cleaned_now)
 
 
 @check(

@@ -5,6 +5,8 @@ lineitem joined with orders, part and customer; vehicles are parts, drivers are
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,17 +112,24 @@ EXTRA = {
 }
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, str], str] = {}
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw trip table of a data folder, written once per application as users keep theirs."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A table made from a data folder, written once per application as users keep theirs."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        path = scratch_path(spark, "trips")
-        build_trips(spark, sf_dir).write.parquet(path)
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
         _STORED[key] = path
-    return spark.read.schema(STORED_SCHEMA).parquet(_STORED[key])
+    return spark.read.parquet(_STORED[key])
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw trip table of a data folder."""
+    return stored(spark, sf_dir, "trips", lambda: build_trips(spark, sf_dir))
 
 
 def build_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

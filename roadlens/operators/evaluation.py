@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.operators.ordered import value_counts
+from roadlens.session import durable
 
 # Guard of the F1 denominators and the clip of probabilities in the log loss.
 TINY = 1e-10
@@ -163,8 +164,11 @@ def classification_report(df: DataFrame, label: str = "y", predicted: str = "pre
             )
         )
     )
-    sums = roles.groupBy("class").agg(
-        F.sum("n").alias("support"), F.sum("guessed").alias("guessed"), F.sum("hit").alias("hit")
+    # One row per class; classes and averages both read it, the scored rows are read once.
+    sums = durable(
+        roles.groupBy("class").agg(
+            F.sum("n").alias("support"), F.sum("guessed").alias("guessed"), F.sum("hit").alias("hit")
+        )
     )
     hit = F.col("hit").cast("double")
     per_class = sums.withColumns(

@@ -338,7 +338,7 @@ def maintenance_report(df: DataFrame) -> DataFrame:
 def savings_estimate(df: DataFrame) -> DataFrame:
     """Hours saved per record and per 1000 records by moving to predictive maintenance."""
     vehicles = durable(vehicle_summary(df))
-    size = vehicles.agg(F.avg("n_records").alias("avg_records_per_vehicle"))
+    size = vehicles.agg(F.avg("n_records"))
     m1, v1, n1, m0, v0, n0 = (F.col(f"{s}_{a}") for a in "tc" for s in "mvn")
     low, high = mean_diff_ci(m1, v1, n1, m0, v0, n0)
     saved = F.greatest(F.lit(0.0), m0 - m1)
@@ -349,8 +349,7 @@ def savings_estimate(df: DataFrame) -> DataFrame:
         low.alias("ci95_low_on_A_minus_B"),
         high.alias("ci95_high_on_A_minus_B"),
     )
-    # Two one-row frames.
-    return size.join(F.broadcast(effect))
+    return effect.select(size.scalar().alias("avg_records_per_vehicle"), "*")
 
 
 def route_report(
