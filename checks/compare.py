@@ -22,7 +22,9 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
         elif str(df[c].dtype).startswith("datetime"):
             df[c] = df[c].astype("datetime64[us]")
     text = df.astype(object).where(df.notna(), None)
-    keys = text.map(lambda v: repr(v)).agg("|".join, axis=1) if len(text.columns) else text
+    if text.empty:
+        return text
+    keys = text.map(repr).agg("|".join, axis=1)
     return text.assign(_k=keys).sort_values("_k").drop(columns="_k").reset_index(drop=True)
 
 
