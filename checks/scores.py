@@ -309,7 +309,8 @@ def _(c: Context):
     "m18_model_table",
     f"""select a.model, roc_auc, pr_auc, {r6('p')} as best_threshold, {r6('pr')} as precision,
   {r6('rc')} as recall, {r6('f1')} as f1_score, cast(n_neg - fp as bigint) as tn,
-  cast(fp as bigint) as fp, cast(n_pos - tp as bigint) as fn, cast(tp as bigint) as tp
+  cast(fp as bigint) as fp, cast(n_pos - tp as bigint) as fn, cast(tp as bigint) as tp,
+  {r6('2 * tp / (n_pos + tp + fp)')} as f1
 from (select model, {AUC} as roc_auc, {AP} as pr_auc from rated group by model) a
 join best b on a.model = b.model""",
     ctes=CURVE_CTES,

@@ -54,7 +54,8 @@ def _average_precision() -> Column:
 
 def model_table(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """One row per model: ROC-AUC, average precision, the threshold of best F1 (the lowest one on
-    ties) with precision, recall and F1, and the confusion counts there. One curve serves all."""
+    ties) with its F1, and the confusion counts there with their guarded precision, recall and F1.
+    One curve serves all."""
     curve = score_curve(df, by)
     precision, recall = _precision(), _recall()
     f1 = 2 * (precision * recall) / (precision + recall + F.lit(TINY))
@@ -66,13 +67,15 @@ def model_table(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     rows = curve.groupBy(*by).agg(
         _auc().alias("roc_auc"), _average_precision().alias("pr_auc"), best.alias("best")
     )
+    tp, fp = F.col("best.tp").cast("double"), F.col("best.fp")
+    cut_precision = tp / (tp + fp + F.lit(TINY))
+    cut_recall = tp / (F.col("best.n_pos") + F.lit(TINY))
     return rows.select(
-        *by, "roc_auc", "pr_auc", "best.best_threshold", "best.precision", "best.recall",
-        "best.f1_score",
-        (F.col("best.n_neg") - F.col("best.fp")).alias("tn"),
-        F.col("best.fp").alias("fp"),
-        (F.col("best.n_pos") - F.col("best.tp")).alias("fn"),
-        F.col("best.tp").alias("tp"),
+        *by, "roc_auc", "pr_auc", "best.best_threshold",
+        cut_precision.alias("precision"), cut_recall.alias("recall"), "best.f1_score",
+        (F.col("best.n_neg") - fp).alias("tn"), fp.alias("fp"),
+        (F.col("best.n_pos") - F.col("best.tp")).alias("fn"), F.col("best.tp").alias("tp"),
+        (2 * cut_precision * cut_recall / (cut_precision + cut_recall + F.lit(TINY))).alias("f1"),
     )
 
 

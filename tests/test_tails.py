@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions import tails
 from roadlens.operators import testing
-from roadlens.operators.evaluation import TINY
+from roadlens.operators.evaluation import confusion, model_table
 
 
 def near(a, b, rel=1e-12):
@@ -59,8 +59,38 @@ def test_yates_chi2(spark, rate_t, n_t, rate_c, n_c, want):
     near(spark.range(1).select(testing.yates_chi2(*cells)).first()[0], want, 1e-11)
 
 
-def test_f1_with_guard():
-    # Precision and recall as recorded beside the F1.
-    p, r = 0.006636155606407323, 0.32
-    f1 = 2 * p * r / (p + r + TINY)
-    assert f1 == pytest.approx(0.0130, abs=5e-5)
+def test_f1_of_recorded_confusion_counts(spark):
+    tn, fp, fn, tp = 42484, 6804, 179, 46
+    i = F.col("id")
+    df = spark.range(tn + fp + fn + tp).select(
+        F.lit("m").alias("model"),
+        (i < tp + fn).cast("int").alias("y"),
+        F.when((i < tp) | (i >= tp + fn + tn), 0.9).otherwise(0.1).alias("p"),
+    )
+    got = confusion(df, 0.5).first()
+    assert (got.tn, got.fp, got.fn, got.tp) == (tn, fp, fn, tp)
+    near(got.precision, 0.006715328467153186)
+    near(got.recall, 0.20444444444435358)
+    near(got.f1, 0.013003533562746075)
+    best = model_table(df).first()
+    near(best.f1_score, 0.013003533562746444)
+    near(best.f1, 0.013003533562746075)
+
+
+def test_recorded_comparison_of_two_rates(spark):
+    """Breakdown rates of 106 582 and 91 469 records: t, interval, U and both p-values."""
+    n1, n0 = 106582, 91469
+    hits1, hits0 = round(0.0034245932709087838 * n1), round(0.0058380434901442015 * n0)
+    i = F.col("id")
+    df = spark.range(n1 + n0).select(
+        (i < n1).alias("arm"),
+        ((i < hits1) | (i >= n1 + n0 - hits0)).cast("int").alias("broke"),
+    )
+    got = testing.welch_tests(df, "arm", ["broke"]).first()
+    near(got.t_stat, -7.810772645639037, 1e-10)
+    near(got.p_value, 5.71606443363598e-15, 1e-6)
+    near(got.ci95_low, -0.0030190593852918324, 1e-10)
+    near(got.ci95_high, -0.0018078411530790028, 1e-10)
+    ranked = testing.rank_sums(df, "arm", ["broke"]).first()
+    assert ranked.mw_u == 4862710177.5
+    near(ranked.mw_p, 1.6428467306628724e-15, 1e-9)
