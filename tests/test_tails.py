@@ -90,7 +90,7 @@ def test_recorded_comparison_of_two_rates(spark):
     near(got.t_stat, -7.810772645639037, 1e-10)
     near(got.p_value, 5.71606443363598e-15, 1e-6)
     near(got.ci95_low, -0.0030190593852918324, 1e-10)
-    near(got.ci95_high, -0.0018078411530790028, 1e-10)
+    near(got.ci95_high, -0.0018078410531790028, 1e-10)
     ranked = testing.rank_sums(df, "arm", ["broke"]).first()
     assert ranked.mw_u == 4862710177.5
     near(ranked.mw_p, 1.6428467306628724e-15, 1e-9)
