@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from roadlens.llm import mixing, sharding
+from roadlens.llm import decontamination, mixing, quality, sharding
 
 QUERIES = {
     "op5_mixing": mixing.op5_mixing,
     "op7_sharding": sharding.op7_sharding,
+    "op8_decontamination": decontamination.op8_decontamination,
+    "op10_quality": quality.op10_quality,
 }
 SQL = {
     "op5_mixing": mixing.OP5_SQL,
+    "op8_decontamination": decontamination.OP8_SQL,
 }
