@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from roadlens.llm import kernels
-from roadlens.llm.frames import map_batches, table
+from roadlens.llm.frames import map_batches, masked, table, unmasked
 
 WINDOW = 10
 PART_WORDS = 2_000_000
@@ -244,10 +244,13 @@ def item_digest(items: F.Column) -> F.Column:
     return F.sha2(F.encode(F.array_join(items, ","), "UTF-8"), 256)
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window, with the same columns."""
-    judged = matches(docs, benchmark, carry=docs.columns, locations=False, **options)
-    return judged.filter("n_hit = 0").select([F.col(f"`{c}`") for c in docs.columns])
+    rows, names = masked(docs)
+    judged = matches(
+        rows, benchmark, carry=list(names.values()), text_col=names[text_col], locations=False, **options
+    )
+    return unmasked(judged.filter("n_hit = 0"), names)
 
 
 def op8_decontamination(spark, sf_dir) -> DataFrame:

@@ -27,6 +27,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def masked(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns renamed by place, so that none clashes with an operator's own, and the new
+    names by the old."""
+    names = {name: f"__c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def unmasked(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of ``masked`` alone, under their old names."""
+    return df.select([F.col(new).alias(old) for old, new in names.items()])
+
+
 def map_batches(df: DataFrame, schema: str | StructType, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``fn`` applied to every Arrow batch."""
 

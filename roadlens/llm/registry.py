@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from roadlens.llm import decontamination, mixing, quality, sharding
+from roadlens.llm import decontamination, jaccard, mixing, quality, sharding
 
 QUERIES = {
+    "op1_jaccard": jaccard.op1_jaccard,
     "op5_mixing": mixing.op5_mixing,
     "op7_sharding": sharding.op7_sharding,
     "op8_decontamination": decontamination.op8_decontamination,

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.frames import running_total, stored, table, words_in
+from roadlens.llm.frames import masked, running_total, stored, table, words_in
 
 PIECES_PER_SHARD = 8
 DIMS = ("_bytes", "_words", "_rows")
@@ -51,11 +51,12 @@ def pack(items: pd.DataFrame, n_shards: int) -> np.ndarray:
 
 
 def place(
-    docs: DataFrame, n_shards: int = 40, parcels_per_shard: int = 128, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, n_shards: int = 40, parcels_per_shard: int = 128, id_col: str = "doc_id", text_col: str = "text",
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, size, text_crc32, shard and slot (gapless from 0 in a shard).
+    """One row per row of ``docs``: doc_id, size, text_crc32, shard and slot (gapless from 0 in a shard).
 
-    A null text is the empty one for grouping, has size 16 and crc32 0. Null ids share one hash;
+    ``carry`` names columns of ``docs`` to take along in a struct ``_row``. A null text is the empty one for grouping, has size 16 and crc32 0. Null ids share one hash;
     repeated rows get slots of their own. An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -66,6 +67,7 @@ def place(
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
             F.xxhash64(text).alias("_text"),
             words_in(text_col).alias("_words"),
+            *([F.struct(*[F.col(c) for c in carry]).alias("_row")] if carry else []),
         ),
         "shard-rows",
     )
@@ -121,7 +123,17 @@ def place(
     )
     return running_total(
         placed, ["shard"], ["_order", "doc_id", "text_crc32", "size"], F.lit(1).cast("long"), "slot", buckets=256
-    ).select("doc_id", "size", "text_crc32", "shard", "slot")
+    ).select("doc_id", "size", "text_crc32", "shard", "slot", *(["_row"] if carry else []))
+
+
+def into_shards(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with ``shard`` and ``slot`` as last columns.
+
+    If ``docs`` has columns of these names, they are replaced.
+    """
+    rows, names = masked(docs.drop("shard", "slot"))
+    placed = place(rows, n_shards, id_col=names[id_col], text_col=names[text_col], carry=list(names.values()))
+    return placed.select([F.col(f"_row.{new}").alias(old) for old, new in names.items()] + ["shard", "slot"])
 
 
 def op7_sharding(spark, sf_dir) -> DataFrame:
