@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from roadlens.llm import decontamination, jaccard, mixing, quality, sharding
+from roadlens.llm import decontamination, jaccard, katz, mixing, quality, sharding
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
     "op5_mixing": mixing.op5_mixing,
+    "op6_scoring": katz.op6_scoring,
     "op7_sharding": sharding.op7_sharding,
     "op8_decontamination": decontamination.op8_decontamination,
     "op10_quality": quality.op10_quality,
