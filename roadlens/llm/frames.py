@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from roadlens.session import scratch_path
 
+DEFAULT_BATCH = "67108864b"
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -39,9 +40,19 @@ def unmasked(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select([F.col(new).alias(old) for old, new in names.items()])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB, unless the session has a size of its own: Python workers hold a
+    batch of whole texts several times over."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == DEFAULT_BATCH:
+        spark.conf.set(key, "8m")
+
+
 def map_batches(df: DataFrame, schema: str | StructType, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``fn`` applied to every Arrow batch."""
 
+    small_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from fn(batch)

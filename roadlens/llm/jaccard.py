@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm import kernels
 from roadlens.llm.components import stars
-from roadlens.llm.frames import map_batches, stored, table
+from roadlens.llm.frames import map_batches, small_batches, stored, table
 
 THRESHOLD = 90
 WORDS = 3
@@ -79,6 +79,7 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
             total += np.frombuffer(counts, dtype=np.int64)
         return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.tobytes()])})
 
+    small_batches(docs.sparkSession)
     schema = "part int, counts binary"
     rows = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
     total = np.zeros((SKETCH_ROWS, width), dtype=np.int64)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm import kernels
-from roadlens.llm.frames import stored, table
+from roadlens.llm.frames import small_batches, stored, table
 
 CHUNK_TOKENS = 4_000_000
 PART_TOKENS = 2_000_000
@@ -423,6 +423,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Null and empty texts are one token, their end. A null id is never held out. Repeated rows are all
     counted and scored. Ids are cast to long. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     named = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     kept = _bucketed(chunks(named), "chunk")
 

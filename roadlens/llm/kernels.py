@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 17
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from roadlens.llm import decontamination, jaccard, katz, lines, mixing, quality, secrets, sharding, urls, wrappers
+from roadlens.llm import credentials, decontamination, jaccard, katz, lines, mixing, quality, sharding, urls, wrappers
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
     "op2_lines": lines.op2_lines,
     "op3_urls": urls.op3_urls,
-    "op4_secrets": secrets.op4_secrets,
+    "op4_secrets": credentials.op4_secrets,
     "op5_mixing": mixing.op5_mixing,
     "op6_scoring": katz.op6_scoring,
     "op7_sharding": sharding.op7_sharding,

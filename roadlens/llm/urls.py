@@ -7,8 +7,8 @@ constants, however many urls it has. The tree is grown level by level with one a
 down to ``max_depth`` segments; what is deeper is one wildcard tail.
 
 Sibling branches that behave alike are merged: a constant goes into the merged branch ``{a|b}`` of its
-parent when its label rate and the symbols that follow it agree with all siblings together within
-Hoeffding's bound. Each url thereby has a template. Labels are the verdicts of the rules that fit a
+parent when its label rate and the symbols that follow it agree, within Hoeffding's bound, with the
+siblings of its kind together. Each url thereby has a template. Labels are the verdicts of the rules that fit a
 url; a template's purity is its share of blocked urls among its labelled ones, smoothed by the rate of
 its parent, whose rate is smoothed by its own parent, up to that of the whole table. A parent's rate is
 over all its urls, so unlabelled ones speak for it, and a template without labels is rejected only
@@ -125,36 +125,39 @@ def templates(urls: DataFrame, max_depth: int = MAX_DEPTH, min_share: float = MI
 def _merged(constants: DataFrame, counts: DataFrame) -> DataFrame:
     """Constants with the ``symbol`` of their branch: their own, or the merged one of alike siblings.
 
-    Every constant is compared with its siblings' sums, not with each sibling. Rates may differ by
+    Siblings of one kind (labelled or not, same most frequent follower) are candidates. Each is compared
+    with the sums of the others of its kind, not with each of them. Rates may differ by
     sqrt(ln(2/confidence)/2) * (1/sqrt(n1) + 1/sqrt(n2)).
     """
-    parent = Window.partitionBy("host", "node")
-    next_parent = Window.partitionBy("host", "node", "_next")
     key = ["host", "node", "_here"]
-    follows = constants.select(*key, F.col("n").alias("_n1")).join(counts.select(*key, "_next", "n"), key)
-    follows = follows.withColumn("_pool", F.sum("n").over(next_parent)).join(
-        constants.groupBy("host", "node").agg(F.sum("n").alias("_total")), ["host", "node"]
+    kind = ["host", "node", "_kind"]
+    same_kind = Window.partitionBy(*kind)
+    follows = constants.select(*key, F.col("n").alias("_n1"), "labelled").join(counts.select(*key, "_next", "n"), key)
+    kinds = follows.groupBy(*key).agg(
+        F.concat(F.max(F.col("labelled") > 0).cast("string"), F.max_by("_next", F.struct("n", "_next"))).alias("_kind")
     )
+    follows = follows.join(kinds, key).withColumn("_pool", F.sum("n").over(Window.partitionBy(*kind, "_next")))
+    judged = constants.join(kinds, key).withColumn("_total", F.sum("n").over(same_kind))
     factor = F.sqrt(F.log(F.lit(2 / CONFIDENCE)) / 2)
 
     def differs(hits, n, other_hits, other_n) -> F.Column:
         bound = factor * (1 / F.sqrt(n) + 1 / F.sqrt(other_n))
-        return (n > 0) & (other_n > 0) & (F.abs(hits / n - other_hits / other_n) > bound)
+        return F.coalesce((n > 0) & (other_n > 0) & (F.abs(hits / n - other_hits / other_n) > bound), F.lit(False))
 
-    unlike = follows.withColumn("_rest", F.col("_total") - F.col("_n1")).groupBy(*key).agg(
-        F.max(differs(F.col("n"), F.col("_n1"), F.col("_pool") - F.col("n"), F.col("_rest"))).alias("_unlike")
+    rest = F.col("_total") - F.col("_n1")
+    unlike = (
+        follows.join(judged.select(*key, "_total"), key)
+        .groupBy(*key)
+        .agg(F.max(differs(F.col("n"), F.col("_n1"), F.col("_pool") - F.col("n"), rest)).alias("_unlike"))
     )
-    rest_labelled = F.sum("labelled").over(parent) - F.col("labelled")
-    rest_bad = F.sum("bad").over(parent) - F.col("bad")
-    judged = constants.withColumn(
-        "_apart", differs(F.col("bad"), F.col("labelled"), rest_bad, rest_labelled)
-        | ((F.col("labelled") > 0) != (rest_labelled > 0))
-    ).withColumn("_siblings", F.count("*").over(parent)).join(unlike, key, "left")
-    alike = (F.col("_siblings") > 1) & ~F.coalesce(F.col("_apart"), F.lit(False)) & ~F.coalesce(F.col("_unlike"), F.lit(False))
-    judged = judged.withColumn("_alike", alike)
-    names = F.array_sort(F.collect_set(F.when(F.col("_alike"), F.col("_here"))).over(parent))
+    rest_labelled = F.sum("labelled").over(same_kind) - F.col("labelled")
+    rest_bad = F.sum("bad").over(same_kind) - F.col("bad")
+    judged = judged.withColumn("_apart", differs(F.col("bad"), F.col("labelled"), rest_bad, rest_labelled)).join(unlike, key)
+    judged = judged.withColumn("_alike", ~F.col("_apart") & ~F.col("_unlike"))
+    names = F.array_sort(F.collect_set(F.when(F.col("_alike"), F.col("_here"))).over(same_kind))
+    merged = F.concat(F.lit("{"), F.array_join(names, "|"), F.lit("}"))
     return judged.withColumn(
-        "symbol", F.when(alike & (F.size(names) > 1), F.concat(F.lit("{"), F.array_join(names, "|"), F.lit("}"))).otherwise(F.col("_here"))
+        "symbol", F.when(F.col("_alike") & (F.size(names) > 1), merged).otherwise(F.col("_here"))
     ).select(*key, "symbol")
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.frames import map_batches, stored, table
+from roadlens.llm.frames import map_batches, small_batches, stored, table
 from roadlens.llm.urls import host_of
 
 #: Elements of the markup language by their role.
@@ -177,8 +177,9 @@ def _slots(shape) -> int:
     return (shape == "#") if isinstance(shape, str) else sum(_slots(s) for s in shape[1:])
 
 
-def _frozen(shape):
-    return shape if isinstance(shape, str) else tuple(_frozen(s) for s in shape)
+def _same(a: dict, b: dict) -> bool:
+    """Items match if they are alike and lie in the same containers."""
+    return a["shape"] == b["shape"] and a["path"] == b["path"]
 
 
 def align(a: list[dict], b: list[dict]) -> list[tuple[int | None, int | None]]:
@@ -186,14 +187,14 @@ def align(a: list[dict], b: list[dict]) -> list[tuple[int | None, int | None]]:
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
-            if a[i]["shape"] == b[j]["shape"]:
+            if _same(a[i], b[j]):
                 best[i][j] = best[i + 1][j + 1] + 1
             else:
                 best[i][j] = max(best[i + 1][j], best[i][j + 1])
     pairs: list[tuple[int | None, int | None]] = []
     i = j = 0
     while i < len(a) and j < len(b):
-        if a[i]["shape"] == b[j]["shape"]:
+        if _same(a[i], b[j]):
             pairs.append((i, j))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
@@ -216,7 +217,7 @@ def merge(a: list[dict], b: list[dict]) -> list[dict]:
             {"chars": x["chars"] + y["chars"], "low": min(x["low"], y["low"]), "high": max(x["high"], y["high"])}
             for x, y in zip(a[i]["slots"], b[j]["slots"], strict=True)
         ]
-        merged.append({"shape": a[i]["shape"], "optional": a[i]["optional"] or b[j]["optional"], "slots": slots})
+        merged.append({"shape": a[i]["shape"], "path": a[i]["path"], "optional": a[i]["optional"] or b[j]["optional"], "slots": slots})
     return merged
 
 
@@ -241,28 +242,27 @@ def expression(wrapper: list[dict]) -> str:
     return " ".join(parts)
 
 
-def _paths(shapes: list) -> list[tuple[str, ...]]:
-    """The open containers at every slot of a list of shapes, outermost first."""
-    stack: list[str] = []
+def _walk(shape, stack: list[str], found: list[tuple[str, ...]]) -> None:
+    """Follows the tags of a shape on the stack of open containers; notes the stack at every slot."""
+    if not isinstance(shape, str):
+        for s in shape[1:]:
+            _walk(s, stack, found)
+    elif shape == "#":
+        found.append(tuple(stack))
+    elif shape[:2] == "</":
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k].split(".")[0] == shape[2:-1]:
+                del stack[k:]
+                break
+    elif shape[1:-1].split(".")[0] not in VOID:
+        stack.append(shape[1:-1])
+
+
+def _paths(wrapper: list[dict]) -> list[tuple[str, ...]]:
+    """The open containers at every slot of a wrapper, outermost first."""
     found: list[tuple[str, ...]] = []
-
-    def walk(shape) -> None:
-        if not isinstance(shape, str):
-            for s in shape[1:]:
-                walk(s)
-        elif shape == "#":
-            found.append(tuple(stack))
-        elif shape[:2] == "</":
-            name = shape[2:-1]
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].split(".")[0] == name:
-                    del stack[k:]
-                    break
-        elif shape[1:-1].split(".")[0] not in VOID:
-            stack.append(shape[1:-1])
-
-    for shape in shapes:
-        walk(shape)
+    for item in wrapper:
+        _walk(item["shape"], list(item["path"]), found)
     return found
 
 
@@ -281,7 +281,7 @@ def _is_chrome(path: tuple[str, ...]) -> bool:
 
 def main_slots(wrapper: list[dict]) -> list[bool]:
     """Which slots of a wrapper hold main text."""
-    paths = _paths([item["shape"] for item in wrapper])
+    paths = _paths(wrapper)
     slots = [slot for item in wrapper for slot in item["slots"]]
     free = [not _is_chrome(p) for p in paths]
     in_main = [f and any(e.split(".")[0] in MAIN for e in p) for f, p in zip(free, paths, strict=True)]
@@ -314,6 +314,7 @@ def shapes(pages: DataFrame) -> DataFrame:
 
     A slot whose range is one value has the same text everywhere.
     """
+    small_batches(pages.sparkSession)
     schema = "host string, digest binary, shape string, slot int, chars long, low long, high long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,13 +355,13 @@ def shapes(pages: DataFrame) -> DataFrame:
 
 def _wrapper_of(shape: str, slots) -> list[dict]:
     left = iter(slots)
-    return [
-        {
-            "shape": _frozen(s if isinstance(s, str) else s), "optional": False,
-            "slots": [{k: int(v[k]) for k in ("chars", "low", "high")} for v in (next(left) for _ in range(_slots(s)))],
-        }
-        for s in (_thawed(x) for x in json.loads(shape))
-    ]
+    stack: list[str] = []
+    items = []
+    for own in map(_thawed, json.loads(shape)):
+        totals = [{k: int(v[k]) for k in ("chars", "low", "high")} for v in (next(left) for _ in range(_slots(own)))]
+        items.append({"shape": own, "path": tuple(stack), "optional": False, "slots": totals})
+        _walk(own, stack, [])
+    return items
 
 
 def _thawed(shape):
@@ -397,7 +398,7 @@ def infer(found: DataFrame, spread: int = 16) -> DataFrame:
 
 
 def _loaded(wrapper: str) -> list[dict]:
-    return [{**item, "shape": _thawed(item["shape"])} for item in json.loads(wrapper)]
+    return [{**item, "shape": _thawed(item["shape"]), "path": tuple(item["path"])} for item in json.loads(wrapper)]
 
 
 def marked(found: DataFrame, wrappers: DataFrame) -> DataFrame:
