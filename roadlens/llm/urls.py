@@ -10,9 +10,9 @@ Sibling branches that behave alike are merged: a constant goes into the merged b
 parent when its label rate and the symbols that follow it agree, within Hoeffding's bound, with the
 siblings of its kind together. Each url thereby has a template. Labels are the verdicts of the rules that fit a
 url; a template's purity is its share of blocked urls among its labelled ones, smoothed by the rate of
-its parent, whose rate is smoothed by its own parent, up to that of the whole table. A parent's rate is
-over all its urls, so unlabelled ones speak for it, and a template without labels is rejected only
-where most of what lies around it is blocked. Templates whose smoothed purity reaches ``threshold`` are
+its parent, whose rate is smoothed by its own parent, up to that of the whole table. The rates of hosts
+and of the whole table are over all urls, so unlabelled ones speak for them, and a template without
+labels is rejected only where most of its host is blocked. Templates whose smoothed purity reaches ``threshold`` are
 rejected.
 """
 
@@ -177,7 +177,7 @@ def purities(rows: DataFrame, prior: float = PRIOR) -> DataFrame:
     for depth in range(1, deepest + 1):
         above = Window.partitionBy("host", F.array_join(F.slice(steps, 1, depth), "/"))
         reaches = F.size(steps) >= depth
-        urls = F.when(F.size(steps) == depth, F.sum("labelled").over(above)).otherwise(F.sum("n").over(above))
+        urls = F.sum("n" if depth == 1 else "labelled").over(above)
         own = (F.sum("bad").over(above) + prior * F.col("purity")) / (urls + prior)
         smoothed = smoothed.withColumn("purity", F.when(reaches, own).otherwise(F.col("purity")))
     return smoothed
