@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.trips import TRIPS_CTE, stored, trips
 from roadlens.functions import derive, rules
+from roadlens.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,6 +49,7 @@ class Context:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:

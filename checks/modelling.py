@@ -60,7 +60,7 @@ def _(c: Context):
 
 @check("m23_m19_fuel_importances")
 def _(c: Context):
-    return fuel.fuel_model(c.clean, KEY, SMALL, drop_leaky=True)["importances"].limit(12)
+    return fuel.fuel_model(c.clean, KEY, SMALL, drop_leaky=True)["importances"]
 
 
 @check("m24_m4_m7_m10_breakdown_metrics")

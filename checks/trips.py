@@ -45,7 +45,8 @@ PARTS = {
 }
 _BROKEN = "(u4 + u6) % 1000 < (case when pred then 6 else 15 end) + age"
 COLUMNS = {
-    "trip_key": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)",
+    "trip_key": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber,"
+    " cast(round(l_extendedprice * 100) as bigint))",
     "vehicle_id": "concat('VEH', lpad(cast(l_partkey as string), 7, '0'))",
     "driver_id": "concat('DRV', lpad(cast(o_custkey as string), 7, '0'))",
     "route_id": "concat('RTE', cast(100 + l_orderkey % 900 as string))",
@@ -136,11 +137,9 @@ def build_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    lines = table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    cores = spark.sparkContext.defaultParallelism
-    if len(lines.inputFiles()) < cores:
-        # A table of fewer files than cores would leave cores idle.
-        lines = lines.repartition(cores)
+    lines = table("lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
+    )
     joined = (
         lines.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))

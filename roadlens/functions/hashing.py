@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 PRIME = 2147483647
 
 # Cumulative Poisson(1) probabilities in units of 1/PRIME; a draw counts how many it reaches.
+# Beyond 12 the probability is less than one unit.
 POISSON_STEPS = tuple(
-    int(PRIME * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(10)
+    int(PRIME * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(13)
 )
 HASH_BITS = 60
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_STEPS = 10_000_000
+
 
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
@@ -19,11 +21,14 @@ def chi2_one_df(x: float) -> float:
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta integral (modified Lentz)."""
+    """Continued fraction of the incomplete beta integral (modified Lentz).
+
+    It takes about sqrt(max(a, b)) steps; not to converge is an error.
+    """
     tiny = 1e-300
     c, d = 1.0, 1.0 / max(1.0 - (a + b) * x / (a + 1.0), tiny)
     total = d
-    for m in range(1, 100_000):
+    for m in range(1, MAX_STEPS):
         for numerator in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -32,21 +37,28 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = (1.0 + numerator / c) or tiny
             total *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return total
+            return total
+    raise ArithmeticError(f"the beta fraction of {a}, {b}, {x} does not converge")
+
+
+def _log_gamma_half_step(a: float) -> float:
+    """log(gamma(a + 1/2) / gamma(a)), without the cancellation of two large logarithms."""
+    moved = 0.0
+    while a < 40:
+        moved += math.log(a / (a + 0.5))
+        a += 1
+    y = 1 / (a * a)
+    series = (1 / 8 - y * (1 / 192 - y * (1 / 640 - y * 17 / 14336))) / a
+    return moved + 0.5 * math.log(a) - series
 
 
 def student_two_sided(t: float, df: float) -> float:
     """P(|T| > |t|), relative accuracy kept far into the tail."""
-    if df > 1e7:
-        # Wallace's normal approximation, error far below 1/df here.
-        z = (8 * df + 1) / (8 * df + 3) * math.sqrt(df * math.log1p(t * t / df))
-        return normal_two_sided(z)
     a, b, x = df / 2.0, 0.5, df / (df + t * t)
     if t == 0:
         return 1.0
     front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+        _log_gamma_half_step(a) - math.lgamma(b)
         - a * math.log1p(t * t / df) + b * math.log(t * t / (df + t * t))
     )
     if x < (a + 1.0) / (a + b + 2.0):

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.operators.ordered import quantiles
-from roadlens.session import broadcast_if_small
 
 
 def _known(df: DataFrame, value: str) -> DataFrame:
@@ -79,7 +78,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     # Values are counted before the join, so a group that holds most rows stays small.
     counted = known.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("k"))
     return (
-        counted.join(broadcast_if_small(boxes), group)
+        counted.join(boxes, group)
         .groupBy(group, "q1", "median", "q3", "n")
         .agg(
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),

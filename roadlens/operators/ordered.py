@@ -22,7 +22,7 @@ def prefix_sums(
     """Adds, for every column of ``sums``, ``before_<c>`` (sum of the rows that come earlier in
     ``order`` within ``by``) and ``total_<c>``.
 
-    ``order`` has to be a total order within ``by``; ``by`` must not hold NULL.
+    ``order`` has to be a total order within ``by``. NULL in ``by`` is a group like any other.
     """
     ranged = durable(
         df.repartitionByRange(*[F.col(b) for b in by], *order).withColumn(
@@ -33,9 +33,10 @@ def prefix_sums(
     earlier = (Window.unboundedPreceding, -1)
     across = Window.partitionBy(*group)
     slice_totals = ranged.groupBy(*by, "_slice").agg(*[F.sum(c).alias(c) for c in sums])
+    keys = {b: f"_by{i}" for i, b in enumerate(by)}
     offsets = slice_totals.select(
-        *by,
-        "_slice",
+        *[F.col(b).alias(k) for b, k in keys.items()],
+        F.col("_slice").alias("_of"),
         *[
             F.coalesce(F.sum(c).over(across.orderBy("_slice").rowsBetween(*earlier)), F.lit(0))
             .alias(f"_offset_{c}")
@@ -47,7 +48,10 @@ def prefix_sums(
     running = ranged.withColumns(
         {f"_run_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in sums}
     )
-    joined = running.join(offsets, [*by, "_slice"])
+    same = F.col("_slice") == F.col("_of")
+    for b, k in keys.items():
+        same = same & F.col(b).eqNullSafe(F.col(k))
+    joined = running.join(offsets, same)
     return joined.select(
         *df.columns,
         *[(F.col(f"_run_{c}") + F.col(f"_offset_{c}")).alias(f"before_{c}") for c in sums],

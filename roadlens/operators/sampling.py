@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.hashing import HASH_BITS, key_hash
-from roadlens.session import broadcast_if_small
 
 _LOW_BITS = HASH_BITS - 16
 
@@ -16,13 +15,15 @@ _LOW_BITS = HASH_BITS - 16
 def hash_split(
     df: DataFrame, key: str, share: float, salt: str = "", out: str = "is_test"
 ) -> DataFrame:
-    """Marks about ``share`` of the rows, with no extra pass over the data."""
-    return df.withColumn(out, key_hash(key, salt) < F.lit(int(share * 2**HASH_BITS)))
+    """Marks about ``share`` of the rows, with no extra pass over the data. Rows without a key are
+    not marked."""
+    chosen = key_hash(key, salt) < F.lit(int(share * 2**HASH_BITS))
+    return df.withColumn(out, F.coalesce(chosen, F.lit(False)))
 
 
 def _stratum(strata: Sequence[str]) -> Column:
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in strata]
-    return F.concat_ws("|", *parts) if parts else F.lit("")
+    """The columns themselves as one key: no text can make two strata one. NULL is a value."""
+    return F.struct(*[F.col(c) for c in strata]) if strata else F.struct(F.lit(0).alias("all"))
 
 
 def _reached(counts: DataFrame, order: str) -> DataFrame:
@@ -49,7 +50,7 @@ def lowest_hash_cut(hashed: DataFrame, wanted: Column) -> DataFrame:
     border = _reached(sized.withColumn("wanted", wanted.cast("bigint")), "_bucket").select(
         "_stratum", "_bucket", (F.col("wanted") - (F.col("_upto") - F.col("n"))).alias("wanted")
     )
-    inside = bucketed.join(broadcast_if_small(border), ["_stratum", "_bucket"])
+    inside = bucketed.join(border, ["_stratum", "_bucket"])
     hashes = inside.groupBy("_stratum", "_h", "wanted").agg(F.count(F.lit(1)).alias("n"))
     return _reached(hashes, "_h").select("_stratum", F.col("_h").alias("_cut"))
 
@@ -66,14 +67,15 @@ def stratified_split(
     hashed = df.withColumn("_stratum", _stratum(strata)).withColumn("_h", key_hash(key, salt))
     wanted = F.floor(F.col("n_rows") * F.lit(float(share)) + 0.5)
     cuts = lowest_hash_cut(hashed.select("_stratum", "_h"), wanted)
-    marked = hashed.join(broadcast_if_small(cuts), "_stratum", "left")
+    marked = hashed.join(cuts, "_stratum", "left")
     chosen = F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))
     return marked.withColumn(out, chosen).select(*df.columns, out)
 
 
 def class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
-    """Adds n / (classes * n_class), the balanced weight of the row's class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    """Adds n / (classes * n_class), the balanced weight of the row's class. Rows without a label keep
+    NULL as their weight and are not counted."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     everything = Window.partitionBy(F.lit(0))
     weights = counts.select(
         label,
@@ -81,4 +83,4 @@ def class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataF
             out
         ),
     )
-    return df.join(broadcast_if_small(weights), label).select(*df.columns, out)
+    return df.join(weights, label, "left").select(*df.columns, out)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+LOCAL_MASTER = re.compile(r"local(\[.*\])?")
 
 
 def build_session(app: str = "roadlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,7 +29,29 @@ def build_session(app: str = "roadlens", master: str | None = None, **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that functions run there
+    without an installation and from any working directory."""
+    context = spark.sparkContext
+    if getattr(context, "_roadlens_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="roadlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "roadlens.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for path, _, files in os.walk(home):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(path, name)
+                    packed.write(full, os.path.relpath(full, os.path.dirname(home)))
+    context.addPyFile(archive)
+    context._roadlens_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,7 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not LOCAL_MASTER.fullmatch(spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     fallback = tempfile.mkdtemp(prefix="roadlens-")
     atexit.register(shutil.rmtree, fallback, ignore_errors=True)
@@ -56,15 +81,3 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """A lookup table as a broadcast side when it provably has at most ``max_rows`` rows.
-
-    The check fetches one row more than the bound; a table within it is not computed again. Beyond
-    it ``df`` is left to a shuffled join, where adaptive execution splits hot keys.
-    """
-    found = df.limit(max_rows + 1).toArrow()
-    if found.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
