@@ -4,14 +4,15 @@
    ``SKETCH`` counters over the whole table, so its size is fixed), then by hash. The order is the same
    everywhere, which is all that prefix filtering needs; rare shingles come first.
 2. Documents with the same shingle set are one *node*; nodes with the same prefix and size are one
-   *group*. Postings are made per group, and group pairs are filtered by size and by the positions of
-   the shared shingle. Only the groups that are left are expanded, and their members verified on
+   *group*. Postings are made per group, and pairs of groups are filtered by size and by the number
+   of prefix shingles they share: what lies behind the prefix that ends first can only add as much as
+   that set has left. Only the group pairs that remain are expanded, and their members verified on
    their whole sets.
-3. Groups of copies would give all pairs of their members. So postings are first linked to the hub of
-   their list, a number of pairs linear in the postings; what verifies is contracted to components.
-   Then all remaining pairs are taken whose nodes are in different components. A list has at most
-   one component that holds most of its postings; postings of the others (outsiders) meet the list, so
-   a list of copies costs nothing any more. No link between different components is left out.
+3. Groups of copies would give all pairs of their members. So each group is first compared with one
+   other: of the hubs of its posting lists, the one it shares most with. What verifies is contracted
+   to components. Then all remaining pairs are taken whose nodes are in different components. A list
+   has at most one component that holds most of its postings; postings of the others (outsiders) meet
+   the list, so a list of copies costs nothing any more. No link between components is left out.
 
 A pair is linked when ``100 * intersection >= threshold * union``.
 """
@@ -91,68 +92,76 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, level: np.ndarray, n: int, threshold: int) -> DataFrame:
-    """Per document: id, number of shingles, node (digest of the set), group (digest of size and
-    prefix) and the prefix as packed hashes. Documents without words have no node."""
+    """Per document: id, number of shingles, node (digest of the set), group (short digest of size and
+    prefix), the prefix as packed hashes and the place of its last shingle in the order. Documents
+    without words have no node."""
     levels = docs.sparkSession.sparkContext.broadcast(level)
     shift = np.uint64(64 - (SKETCH.bit_length() - 1))
-    schema = "doc_id long, row_key long, n int, node binary, grp binary, prefix binary"
+    schema = "doc_id long, row_key long, n int, node binary, grp long, last long, prefix binary"
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = batch.num_rows
         sizes = np.zeros(rows, dtype=np.int32)
-        nodes, groups, heads = [None] * rows, [None] * rows, [None] * rows
+        nodes, groups, ends, heads = ([None] * rows for _ in range(4))
         for row, own in shingle_sets(batch.column("text"), n):
             size = len(own)
             order = (levels.value[own >> shift].astype(np.uint64) << np.uint64(56)) | (own >> np.uint64(8))
             length = size - -(-threshold * size // 100) + 1
-            head = own[np.argsort(order, kind="stable")[:length]].tobytes()
+            first = np.argsort(order, kind="stable")[:length]
+            head = own[first].tobytes()
             sizes[row] = size
             nodes[row] = xxhash.xxh3_128_digest(own.tobytes())
-            groups[row] = xxhash.xxh3_128_digest(head + size.to_bytes(8, "little"))
+            groups[row] = xxhash.xxh3_64_intdigest(head + size.to_bytes(8, "little")) - (1 << 63)
+            ends[row] = int(order[first[-1]]) - (1 << 63)
             heads[row] = head
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), batch.column("row_key"), pa.array(sizes),
-                *[pa.array(x, pa.binary()) for x in (nodes, groups, heads)],
+                pa.array(nodes, pa.binary()), pa.array(groups, pa.int64()), pa.array(ends, pa.int64()),
+                pa.array(heads, pa.binary()),
             ],
-            names=["doc_id", "row_key", "n", "node", "grp", "prefix"],
+            names=["doc_id", "row_key", "n", "node", "grp", "last", "prefix"],
         )
 
     return map_batches(docs, schema, cut)
 
 
-def postings(groups: DataFrame, threshold: int) -> DataFrame:
-    """A row per group and prefix shingle; ``short`` marks the part in which a smaller set must meet."""
-    schema = "token long, grp binary, n int, pos int, short boolean"
+def postings(groups: DataFrame) -> DataFrame:
+    """A row per group and prefix shingle."""
+    schema = "token long, grp long, n int"
 
     def spread(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         heads = batch.column("prefix")
-        size = batch.column("n").to_numpy()
         length = pc.binary_length(heads).to_numpy(zero_copy_only=False).astype(np.int64) // 8
         tokens = np.frombuffer(b"".join(heads.to_pylist()), dtype=np.int64)
         owner = np.repeat(np.arange(batch.num_rows), length)
-        pos = np.arange(len(tokens)) - np.repeat(np.cumsum(length) - length, length)
-        short = size - (2 * threshold * size.astype(np.int64) + 99 + threshold) // (100 + threshold) + 1
+        grp, n = batch.column("grp").to_numpy(), batch.column("n").to_numpy()
         for at in range(0, len(tokens), 200_000):
-            part = slice(at, at + 200_000)
+            own = owner[at : at + 200_000]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(tokens[part]), batch.column("grp").take(pa.array(owner[part])),
-                    pa.array(size[owner[part]]), pa.array(pos[part].astype(np.int32)),
-                    pa.array(pos[part] < short[owner[part]]),
-                ],
-                names=["token", "grp", "n", "pos", "short"],
+                [pa.array(tokens[at : at + 200_000]), pa.array(grp[own]), pa.array(n[own])], names=["token", "grp", "n"]
             )
 
     return map_batches(groups.select("grp", "n", "prefix"), schema, spread)
 
 
-def _may_link(threshold: int) -> F.Column:
-    """Size and position filters for a smaller posting ``a`` and a larger one ``b`` of one shingle."""
-    need = F.floor((threshold * (F.col("a.n") + F.col("b.n")) + 99 + threshold) / (100 + threshold))
-    rest = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
-    before = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.grp") < F.col("b.grp")))
-    return before & F.col("a.short") & (100 * F.col("a.n") >= threshold * F.col("b.n")) & (rest >= need)
+def _sizes_fit(a: F.Column, b: F.Column, threshold: int) -> F.Column:
+    return (100 * a >= threshold * b) & (100 * b >= threshold * a)
+
+
+def enough_shared(pairs: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
+    """Group pairs (ga, gb, c shared prefix shingles) whose sets can still be similar enough.
+
+    Of the two prefixes one ends first in the order. All common shingles up to there are in both
+    prefixes; behind it there are at most as many as its set has left.
+    """
+    sized = groups.select("grp", "n", "last")
+    one = sized.toDF("ga", "na", "la")
+    two = sized.toDF("gb", "nb", "lb")
+    left = F.when(F.col("la") <= F.col("lb"), F.col("na")).otherwise(F.col("nb"))
+    behind = F.floor((left * threshold + 99) / 100) - 1
+    need = F.floor((threshold * (F.col("na") + F.col("nb")) + 99 + threshold) / (100 + threshold))
+    return pairs.join(one, "ga").join(two, "gb").filter(F.col("c") + behind >= need).select("ga", "gb").distinct()
 
 
 def wanted_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -205,6 +214,11 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return map_batches(both, "u binary, v binary", test)
 
 
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame:
+    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "row_key"), "node")
+    return stored(verified(pairs, wanted_sets(docs, asked, n), threshold), "jaccard-links")
+
+
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).unionByName(
         right.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
@@ -232,70 +246,70 @@ def classes(
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("grp").alias("grp"),
-            F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+            F.first("n").alias("n"), F.first("last").alias("last"), F.first("prefix").alias("prefix"),
         ),
         "jaccard-nodes",
     )
-    groups = nodes.groupBy("grp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    posted = postings(groups, threshold).repartition("token")
-    lists = posted.groupBy("token").agg(
-        F.count("*").alias("size"), F.min(F.when(F.col("short"), F.struct("n", "grp", "pos", "short"))).alias("hub")
-    )
-    shared = stored(
-        posted.join(lists.filter("size > 1"), "token").select("token", "grp", "n", "pos", "short", "hub"), "jaccard-postings"
-    )
+    # the short digest is not trusted: what differs is posted apart, under one name
+    groups = nodes.groupBy("grp", "n", "last", "prefix").agg(F.lit(1))
+    posted = postings(groups).repartition("token")
+    lists = posted.groupBy("token").agg(F.count("*").alias("size"))
+    shared = stored(posted.join(lists.filter("size > 1"), "token"), "jaccard-postings")
     members = nodes.select("grp", "node")
 
-    # linear in the postings: every group with the hub of its lists, every node with the first of its group
-    posting = F.struct("token", "grp", "n", "pos", "short")
-    hubs = shared.select(F.col("hub").alias("a"), posting.alias("b")).filter(_may_link(threshold))
-    hub_groups = hubs.select(F.col("a.grp").alias("ga"), F.col("b.grp").alias("gb")).distinct()
+    # linear: every group with one hub, every node with the first of its group. Of a list, the group
+    # with the most neighbours over all its lists is the hub: the original among its copies.
+    central = shared.groupBy("grp").agg(F.sum("size").alias("near"))
+    ranked = shared.join(central, "grp")
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n")).alias("hub"))
+    best = (
+        shared.join(hubs, "token")
+        .filter((F.col("hub.grp") != F.col("grp")) & _sizes_fit(F.col("n"), F.col("hub.n"), threshold))
+        .groupBy(F.col("grp").alias("gb"), F.col("hub.grp").alias("ga"))
+        .agg(F.count("*").alias("c"))
+        .groupBy("gb")
+        .agg(F.max_by("ga", F.struct("c", "ga")).alias("ga"))
+    )
     first = members.groupBy("grp").agg(F.min("node").alias("first"))
     to_hub = (
-        hub_groups.join(first.select(F.col("grp").alias("ga"), F.col("first").alias("u")), "ga")
+        best.join(first.select(F.col("grp").alias("ga"), F.col("first").alias("u")), "ga")
         .join(members.select(F.col("grp").alias("gb"), F.col("node").alias("v")), "gb")
     )
     in_group = members.join(first, "grp").filter("node != first").select(F.col("first").alias("u"), F.col("node").alias("v"))
     asked = stored(_pairs(to_hub, in_group), "jaccard-pairs")
-    named_nodes = asked.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(
-        nodes.select("node", "row_key"), "node"
-    )
-    links = stored(verified(asked, wanted_sets(named, named_nodes, n), threshold), "jaccard-links")
+    links = _links(asked, nodes, named, n, threshold)
     part = stars(links)
 
     # what is left: nodes of one list or group in different components
-    labelled = nodes.select("grp", "node", "row_key").join(
-        part.withColumnRenamed("u", "node").withColumnRenamed("v", "comp"), "node", "left"
-    ).withColumn("comp", F.coalesce("comp", "node"))
+    labelled = stored(
+        nodes.select("grp", "node").join(part.toDF("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")),
+        "jaccard-labels",
+    )
     of_group = labelled.groupBy("grp").agg(F.min("comp").alias("comp"), (F.min("comp") != F.max("comp")).alias("mixed"))
-    known = stored(shared.drop("hub").join(of_group, "grp"), "jaccard-known")
+    known = shared.select("token", "grp", "n").join(of_group, "grp")
     shares = known.groupBy("token", "comp").agg(F.count("*").alias("c"), F.max("mixed").alias("mixed"))
     ruling = shares.groupBy("token").agg(
         F.max_by("comp", F.struct("c", "comp")).alias("ruler"), F.count("*").alias("kinds"), F.max("mixed").alias("mixed")
     ).filter("kinds > 1 or mixed").select("token", "ruler")
-    open_lists = stored(known.join(ruling, "token"), "jaccard-open")
-    outside = open_lists.filter("comp != ruler or mixed")
-    different = (F.col("a.comp") != F.col("b.comp")) | F.col("a.mixed") | F.col("b.mixed")
-    up = outside.alias("a").join(open_lists.alias("b"), F.col("a.token") == F.col("b.token")).filter(
-        _may_link(threshold) & different
+    open_lists = stored(
+        known.join(ruling, "token").withColumn("outside", (F.col("comp") != F.col("ruler")) | F.col("mixed")), "jaccard-open"
     )
-    down = open_lists.alias("a").join(outside.alias("b"), F.col("a.token") == F.col("b.token")).filter(
-        _may_link(threshold) & different
+    outside = open_lists.filter("outside").select("token", F.col("grp").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("mixed").alias("ma"))
+    meet = outside.join(open_lists, "token").filter(
+        (F.col("ga") != F.col("grp"))
+        & (~F.col("outside") | (F.col("ga") < F.col("grp")))
+        & ((F.col("ca") != F.col("comp")) | F.col("ma") | F.col("mixed"))
+        & _sizes_fit(F.col("na"), F.col("n"), threshold)
     )
-    left = up.select(F.col("a.grp").alias("ga"), F.col("b.grp").alias("gb")).unionByName(
-        down.select(F.col("a.grp").alias("ga"), F.col("b.grp").alias("gb"))
-    ).distinct()
+    pairs = meet.groupBy("ga", F.col("grp").alias("gb")).agg(F.count("*").alias("c"))
+    left = enough_shared(pairs, groups, threshold)
     one = labelled.select(F.col("grp").alias("ga"), F.col("node").alias("u"), F.col("comp").alias("cu"))
     two = labelled.select(F.col("grp").alias("gb"), F.col("node").alias("v"), F.col("comp").alias("cv"))
     across = left.join(one, "ga").join(two, "gb").filter("cu != cv").select("u", "v")
     mixed = of_group.filter("mixed").select(F.col("grp").alias("ga"))
-    inside = (
-        one.join(mixed, "ga").join(two, F.col("ga") == F.col("gb")).filter("u < v and cu != cv").select("u", "v")
-    )
+    inside = one.join(mixed, "ga").join(two, F.col("ga") == F.col("gb")).filter("u < v and cu != cv").select("u", "v")
     rest = stored(_pairs(across, inside).join(asked, ["u", "v"], "left_anti"), "jaccard-rest")
-    more_nodes = rest.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "row_key"), "node")
-    more = stored(verified(rest, wanted_sets(named, more_nodes, n), threshold), "jaccard-links")
-    part = stars(part.unionByName(more))
+    part = stars(part.unionByName(_links(rest, nodes, named, n, threshold)))
 
     labels = nodes.select("node", "doc_id").join(
         part.withColumnRenamed("u", "node").withColumnRenamed("v", "comp"), "node", "left"
