@@ -141,7 +141,15 @@ def _(c: Context):
     return device_uplift(c)["modulators"]
 
 
-@check("m1_one_hot_slots")
+@check(
+    "m1_one_hot_slots",
+    " union all ".join(
+        f"select '{c}_' || {c} as feature, cast(count(*) as double) as rows_set from clean"
+        f" where {c} is not null group by {c}"
+        for c in schema.CONTEXT_CATEGORIES
+    )
+    + " union all select 'rush_hour', cast(sum(rush_hour::int) as double) from clean",
+)
 def _(c: Context):
     shaped = models.numeric(c.clean, ["rush_hour"])
     encoded = models.encoder(schema.CONTEXT_CATEGORIES, ["rush_hour"]).fit(shaped).transform(shaped)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from checks.base import Context, check, r6
 from roadlens.functions import derive
 from roadlens.functions.hashing import key_hash
-from roadlens.operators import charts, evaluation, ordered, ranking, sampling, uplift
+from roadlens.functions.rules import complete
+from roadlens.operators import charts, evaluation, models, ordered, ranking, sampling, uplift
 
 # Three scores for the breakdown event, all plain arithmetic on recorded columns.
 SCORES = {
@@ -130,19 +131,23 @@ def _(c: Context):
 
 @check(
     "o1_ordered_events",
-    "select event_type, count(*) as n from clean group by event_type",
+    """select event_type, n, row_number() over (order by n desc, event_type) as position
+from (select event_type, count(*) as n from clean group by event_type)""",
 )
 def _(c: Context):
-    return charts.category_counts(c.clean, "event_type").orderBy(F.desc("n"), "event_type")
+    counts = charts.category_counts(c.clean, "event_type")
+    return ranking.numbered(counts, [F.desc("n"), F.col("event_type")])
 
 
 @check(
     "o2_by_magnitude",
-    f"""select maintenance_type, {r6('avg(speed) - 80')} as gap from clean group by 1""",
+    f"""select maintenance_type, {r6('gap')} as gap,
+  row_number() over (order by abs(gap) desc, maintenance_type) as position
+from (select maintenance_type, avg(speed) - 80 as gap from clean group by 1)""",
 )
 def _(c: Context):
     gaps = c.clean.groupBy("maintenance_type").agg((F.avg("speed") - 80).alias("gap"))
-    return ranking.by_magnitude(gaps, "gap", "maintenance_type")
+    return ranking.numbered(gaps, [F.abs("gap").desc(), F.col("maintenance_type")])
 
 
 @check(
@@ -298,13 +303,35 @@ def _(c: Context):
 from clean group by vehicle_type""",
 )
 def _(c: Context):
-    return c.clean.groupBy("vehicle_type").agg(
-        F.regr_slope("fuel_consumption_liters", "distance_traveled_km").alias("slope"),
-        F.regr_intercept("fuel_consumption_liters", "distance_traveled_km").alias("intercept"),
-        F.regr_r2("fuel_consumption_liters", "distance_traveled_km").alias("r2"),
+    known = complete(c.clean, ["fuel_consumption_liters", "distance_traveled_km"])
+    shaped = models.encoder([], ["distance_traveled_km"]).fit(known).transform(known)
+    lines = []
+    for kind in ("car", "truck", "van"):
+        fitted = models.linear(shaped.filter(F.col("vehicle_type") == kind), "fuel_consumption_liters")
+        lines.append(
+            (kind, float(fitted.coefficients[0]), float(fitted.intercept), float(fitted.summary.r2))
+        )
+    return c.spark.createDataFrame(
+        lines, "vehicle_type string, slope double, intercept double, r2 double"
     )
 
 
+@check(
+    "m2_one_category_shares",
+    """select weather, round(avg(braking_event::int), 3) as p from clean
+where weather is not null and braking_event is not null group by weather""",
+)
+def _(c: Context):
+    """Without a penalty, logistic regression on one category gives the categories' own shares."""
+    known = complete(c.clean, ["weather", "braking_event"])
+    shaped = models.numeric(known, ["braking_event"]).select("weather", "braking_event")
+    encoded = models.encoder(["weather"], []).fit(shaped).transform(shaped)
+    fitted = models.logistic(encoded, "braking_event", c=1e9, max_iter=500)
+    scored = fitted.transform(encoded).withColumn("p", models.positive())
+    # The solver ends some digits before the sixth place.
+    return scored.groupBy("weather").agg(F.round(F.max("p"), 3).alias("p"))
+
+
 @check(
     "m18_model_table",
     f"""select a.model, roc_auc, pr_auc, {r6('p')} as best_threshold, {r6('pr')} as precision,
@@ -365,6 +392,70 @@ def _(c: Context):
     )
 
 
+@check(
+    "m9_null_keys",
+    f"""select is_test, count(*) as n from (
+  select coalesce({_HASH} < {int(0.3 * 2**60)}, false) as is_test
+  from (select case when weather = 'rainy' then null else trip_key end as trip_key from clean))
+group by 1""",
+)
+def _(c: Context):
+    key = F.when(F.col("weather") == "rainy", None).otherwise(F.col("trip_key")).alias("trip_key")
+    marked = sampling.hash_split(c.clean.select(key), "trip_key", 0.3)
+    return marked.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+_PAIRED = """select trip_key,
+  case when weather = 'rainy' then 'a|b' when weather = 'sunny' then 'a' end as first,
+  case when weather = 'rainy' then 'c' when weather = 'sunny' then 'b|c' end as second from clean"""
+
+
+@check(
+    "m9_strata_text",
+    f"""select first, second, count(*) as n, count(*) filter (where is_test) as n_test from (
+  select first, second, row_number() over (partition by first, second order by {_HASH})
+    <= floor(count(*) over (partition by first, second) * 0.25e0 + 0.5) as is_test
+  from ({_PAIRED})) group by 1, 2""",
+)
+def _(c: Context):
+    """Labels that hold the separator, and NULL labels, are strata of their own."""
+    weather = F.col("weather")
+    rows = c.clean.select(
+        "trip_key",
+        F.when(weather == "rainy", "a|b").when(weather == "sunny", "a").alias("first"),
+        F.when(weather == "rainy", "c").when(weather == "sunny", "b|c").alias("second"),
+    )
+    split = sampling.stratified_split(rows, "trip_key", 0.25, ["first", "second"])
+    return split.groupBy("first", "second").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test")
+    )
+
+
+@check(
+    "m3_unlabelled",
+    f"""select cast(rows.label as varchar) as label, count(*) as n,
+  case when rows.label is not null then {r6('any_value(t) / (2.0 * count(*))')} end as class_weight
+from (select *, count(label) over () as t from (
+  select case when weather <> 'rainy' then breakdown_event end as label from clean)) as rows group by rows.label""",
+)
+def _(c: Context):
+    label = F.when(F.col("weather") != "rainy", F.col("breakdown_event")).alias("label")
+    weighted = sampling.class_weights(c.clean.select(label), "label")
+    return weighted.groupBy(F.col("label").cast("string").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("class_weight").alias("class_weight")
+    )
+
+
+@check(
+    "w3_null_group",
+    f"""select kind, count(data_latency_ms) as n, {r6('quantile_cont(data_latency_ms, 0.5)')} as q0
+from (select *, case when weather <> 'rainy' then vehicle_type end as kind from clean) group by kind""",
+)
+def _(c: Context):
+    kind = F.when(F.col("weather") != "rainy", F.col("vehicle_type"))
+    return ordered.quantiles(c.clean.withColumn("kind", kind), "data_latency_ms", [0.5], by=["kind"])
+
+
 # ---------------------------------------------------------------- uplift tables
 
 _UPLIFT = "(vehicle_age_years - 6) / 10e0 + (speed - 80) / 1000e0"
