@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from roadlens.llm import kernels
 from roadlens.llm.frames import small_batches, stored, table
 
-CHUNK_TOKENS = 4_000_000
-PART_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_200_000
+PART_TOKENS = 1_500_000
 DISCOUNTED = 5
 FOLDS = 5
 HELD_OUT = 1
