@@ -4,10 +4,11 @@
    ``SKETCH`` counters over the whole table, so its size is fixed), then by hash. The order is the same
    everywhere, which is all that prefix filtering needs; rare shingles come first.
 2. Documents with the same shingle set are one *node*; nodes with the same prefix and size are one
-   *group*. Postings are made per group, and pairs of groups are filtered by size and by the number
-   of prefix shingles they share: what lies behind the prefix that ends first can only add as much as
-   that set has left. Only the group pairs that remain are expanded, and their members verified on
-   their whole sets.
+   *group*. Postings are made per group; a shingle that only one group has in its prefix can be in no
+   intersection there, so places are counted among the others. Pairs of groups are filtered by size, by
+   the places of each shared shingle, and by the number of them: what lies behind the prefix that ends
+   first can only add as much as that set has left. Only the group pairs that remain are expanded, and
+   their members verified on their whole sets.
 3. Groups of copies would give all pairs of their members. So each group is first compared with one
    other: of the hubs of its posting lists, the one it shares most with. What verifies is contracted
    to components. Then all remaining pairs are taken whose nodes are in different components. A list
@@ -25,12 +26,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.llm import kernels
 from roadlens.llm.components import stars
-from roadlens.llm.frames import map_batches, small_batches, stored, table
+from roadlens.llm.frames import map_batches, masked, small_batches, stored, table, unmasked
 
 THRESHOLD = 90
 WORDS = 3
@@ -127,26 +128,40 @@ def prefixes(docs: DataFrame, level: np.ndarray, n: int, threshold: int) -> Data
 
 
 def postings(groups: DataFrame) -> DataFrame:
-    """A row per group and prefix shingle."""
-    schema = "token long, grp long, n int"
+    """A row per group and prefix shingle with its place in the prefix."""
+    schema = "token long, grp long, n int, last long, pos int"
 
     def spread(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         heads = batch.column("prefix")
         length = pc.binary_length(heads).to_numpy(zero_copy_only=False).astype(np.int64) // 8
         tokens = np.frombuffer(b"".join(heads.to_pylist()), dtype=np.int64)
         owner = np.repeat(np.arange(batch.num_rows), length)
-        grp, n = batch.column("grp").to_numpy(), batch.column("n").to_numpy()
+        pos = (np.arange(len(tokens)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
+        grp, n, last = (batch.column(c).to_numpy() for c in ("grp", "n", "last"))
         for at in range(0, len(tokens), 200_000):
             own = owner[at : at + 200_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[at : at + 200_000]), pa.array(grp[own]), pa.array(n[own])], names=["token", "grp", "n"]
+                [
+                    pa.array(tokens[at : at + 200_000]), pa.array(grp[own]), pa.array(n[own]),
+                    pa.array(last[own]), pa.array(pos[at : at + 200_000]),
+                ],
+                names=["token", "grp", "n", "last", "pos"],
             )
 
-    return map_batches(groups.select("grp", "n", "prefix"), schema, spread)
+    return map_batches(groups.select("grp", "n", "last", "prefix"), schema, spread)
 
 
-def _sizes_fit(a: F.Column, b: F.Column, threshold: int) -> F.Column:
-    return (100 * a >= threshold * b) & (100 * b >= threshold * a)
+def _may_link(a: str, b: str, threshold: int) -> F.Column:
+    """Whether the sets of two postings of one shingle can still be similar enough.
+
+    ``at`` counts the shared shingles before it in the prefix, ``most`` what of the set can be shared at
+    all. Before the shingle at most the lesser ``at`` are common, behind it the lesser rest.
+    """
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    before = F.least(F.col(f"{a}.at"), F.col(f"{b}.at"))
+    behind = F.least(F.col(f"{a}.most") - F.col(f"{a}.at"), F.col(f"{b}.most") - F.col(f"{b}.at"))
+    need = F.floor((threshold * (n + m) + 99 + threshold) / (100 + threshold))
+    return (100 * n >= threshold * m) & (100 * m >= threshold * n) & (before + behind >= need)
 
 
 def enough_shared(pairs: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
@@ -164,23 +179,32 @@ def enough_shared(pairs: DataFrame, groups: DataFrame, threshold: int) -> DataFr
     return pairs.join(one, "ga").join(two, "gb").filter(F.col("c") + behind >= need).select("ga", "gb").distinct()
 
 
-def wanted_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """The shingle sets of ``nodes`` (node, key of a row that has it), read again from the documents.
-
-    A bit map of fixed size over the rows' keys spares the others the work; the join is what decides.
-    """
-    bits = nodes.select(F.pmod("row_key", F.lit(1 << FILTER_BITS)).alias("b"))
+def key_bits(keys: DataFrame, column: str):
+    """A broadcast bit map of fixed size over 64-bit keys; a bit may stand for several keys."""
+    bits = keys.select(F.pmod(column, F.lit(1 << FILTER_BITS)).alias("b"))
     maps = bits.groupBy(F.floor(F.col("b") / 32768).cast("int").alias("part")).agg(
         F.bitmap_construct_agg(F.pmod("b", F.lit(32768))).alias("bits")
     )
     whole = np.zeros((1 << FILTER_BITS) // 32768 * 4096, dtype=np.uint8)
     for part, data in maps.collect():
         whole[part * 4096 : (part + 1) * 4096] = np.frombuffer(bytes(data), dtype=np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(whole)
+    return keys.sparkSession.sparkContext.broadcast(whole)
+
+
+def in_bits(bits: np.ndarray, keys: pa.Array) -> np.ndarray:
+    key = keys.to_numpy() & ((1 << FILTER_BITS) - 1)
+    return (bits[key >> 3] >> (key & 7)) & 1 == 1
+
+
+def wanted_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """The shingle sets of ``nodes`` (node, key of a row that has it), read again from the documents.
+
+    A bit map over the rows' keys spares the others the work; the join is what decides.
+    """
+    shared = key_bits(nodes, "row_key")
 
     def sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        key = batch.column("row_key").to_numpy() & ((1 << FILTER_BITS) - 1)
-        found = batch.filter(pa.array((shared.value[key >> 3] >> (key & 7)) & 1 == 1))
+        found = batch.filter(pa.array(in_bits(shared.value, batch.column("row_key"))))
         names, values = [], []
         for _, own in shingle_sets(found.column("text"), n):
             names.append(xxhash.xxh3_128_digest(own.tobytes()))
@@ -228,7 +252,8 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 def classes(
     docs: DataFrame, threshold: int = THRESHOLD, n: int = WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, row_key (hash of id and text), n_shingles and component_id.
+    """Per row of ``docs``: doc_id, row_key (hash of id and text), n_shingles, component_id and component
+    (a name for it that is never shared; null where there are no words).
 
     Rows with the same set are one node, whatever their ids; component_id is the smallest id that can
     be reached over links, itself included. Null, empty and wordless texts have no shingles and are
@@ -246,26 +271,34 @@ def classes(
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("grp").alias("grp"),
-            F.first("n").alias("n"), F.first("last").alias("last"), F.first("prefix").alias("prefix"),
+            F.first("n").alias("n"), F.first("last").alias("last"),
         ),
         "jaccard-nodes",
     )
-    # the short digest is not trusted: what differs is posted apart, under one name
-    groups = nodes.groupBy("grp", "n", "last", "prefix").agg(F.lit(1))
-    posted = postings(groups).repartition("token")
-    lists = posted.groupBy("token").agg(F.count("*").alias("size"))
-    shared = stored(posted.join(lists.filter("size > 1"), "token"), "jaccard-postings")
+    # the short digest is not trusted: groups that differ in size or last shingle are posted apart
+    groups = nodes.groupBy("grp", "n", "last").agg(F.min("row_key").alias("row_key"))
+    posted = postings(rows.join(groups, ["grp", "n", "last", "row_key"], "left_semi")).repartition("token")
+    lists = posted.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
+    prefix = Window.partitionBy("grp", "n", "last")
+    behind = F.floor((F.col("n") * threshold + 99) / 100) - 1
+    shared = stored(
+        posted.join(lists, "token")
+        .withColumn("at", F.row_number().over(prefix.orderBy("pos")) - 1)
+        .withColumn("most", (F.count("*").over(prefix) + behind).cast("int"))
+        .select("token", "grp", "n", "at", "most", "size"),
+        "jaccard-postings",
+    )
     members = nodes.select("grp", "node")
 
     # linear: every group with one hub, every node with the first of its group. Of a list, the group
     # with the most neighbours over all its lists is the hub: the original among its copies.
     central = shared.groupBy("grp").agg(F.sum("size").alias("near"))
     ranked = shared.join(central, "grp")
-    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n")).alias("hub"))
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "at", "most")).alias("hub"))
     best = (
-        shared.join(hubs, "token")
-        .filter((F.col("hub.grp") != F.col("grp")) & _sizes_fit(F.col("n"), F.col("hub.n"), threshold))
-        .groupBy(F.col("grp").alias("gb"), F.col("hub.grp").alias("ga"))
+        shared.alias("own").join(hubs, "token")
+        .filter((F.col("hub.grp") != F.col("own.grp")) & _may_link("hub", "own", threshold))
+        .groupBy(F.col("own.grp").alias("gb"), F.col("hub.grp").alias("ga"))
         .agg(F.count("*").alias("c"))
         .groupBy("gb")
         .agg(F.max_by("ga", F.struct("c", "ga")).alias("ga"))
@@ -286,7 +319,7 @@ def classes(
         "jaccard-labels",
     )
     of_group = labelled.groupBy("grp").agg(F.min("comp").alias("comp"), (F.min("comp") != F.max("comp")).alias("mixed"))
-    known = shared.select("token", "grp", "n").join(of_group, "grp")
+    known = shared.drop("size").join(of_group, "grp")
     shares = known.groupBy("token", "comp").agg(F.count("*").alias("c"), F.max("mixed").alias("mixed"))
     ruling = shares.groupBy("token").agg(
         F.max_by("comp", F.struct("c", "comp")).alias("ruler"), F.count("*").alias("kinds"), F.max("mixed").alias("mixed")
@@ -294,14 +327,15 @@ def classes(
     open_lists = stored(
         known.join(ruling, "token").withColumn("outside", (F.col("comp") != F.col("ruler")) | F.col("mixed")), "jaccard-open"
     )
-    outside = open_lists.filter("outside").select("token", F.col("grp").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("mixed").alias("ma"))
-    meet = outside.join(open_lists, "token").filter(
-        (F.col("ga") != F.col("grp"))
-        & (~F.col("outside") | (F.col("ga") < F.col("grp")))
-        & ((F.col("ca") != F.col("comp")) | F.col("ma") | F.col("mixed"))
-        & _sizes_fit(F.col("na"), F.col("n"), threshold)
+    meet = open_lists.filter("outside").alias("a").join(open_lists.alias("b"), F.col("a.token") == F.col("b.token")).filter(
+        (F.col("a.grp") != F.col("b.grp"))
+        & (~F.col("b.outside") | (F.col("a.grp") < F.col("b.grp")))
+        & ((F.col("a.comp") != F.col("b.comp")) | F.col("a.mixed") | F.col("b.mixed"))
+        & _may_link("a", "b", threshold)
     )
-    pairs = meet.groupBy("ga", F.col("grp").alias("gb")).agg(F.count("*").alias("c"))
+    # which of the two is the outsider may change from list to list
+    low, high = F.least("a.grp", "b.grp"), F.greatest("a.grp", "b.grp")
+    pairs = meet.groupBy(low.alias("ga"), high.alias("gb")).agg(F.count("*").alias("c"))
     left = enough_shared(pairs, groups, threshold)
     one = labelled.select(F.col("grp").alias("ga"), F.col("node").alias("u"), F.col("comp").alias("cu"))
     two = labelled.select(F.col("grp").alias("gb"), F.col("node").alias("v"), F.col("comp").alias("cv"))
@@ -315,33 +349,49 @@ def classes(
         part.withColumnRenamed("u", "node").withColumnRenamed("v", "comp"), "node", "left"
     ).withColumn("comp", F.coalesce("comp", "node"))
     smallest = labels.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_node = labels.join(smallest, "comp").select("node", F.struct("component_id").alias("_found"))
+    of_node = labels.join(smallest, "comp").select("node", F.struct("component_id", "comp").alias("_found"))
     return rows.select("doc_id", "row_key", "n", "node").join(of_node, "node", "left").select(
         "doc_id", "row_key", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("_found").isNull(), F.col("doc_id")).otherwise(F.col("_found.component_id")).alias("component_id"),
-        "node",
+        F.col("_found.comp").alias("component"),
     )
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id. Wordless rows all stay."""
-    found = classes(docs, id_col=id_col, text_col=text_col, **options).filter("node is not null")
-    chosen = (
-        found.filter("doc_id <=> component_id")
-        .groupBy("component_id")
-        .agg(F.min("row_key").alias("__chosen"))
-        .select(F.col("component_id").alias("__id"), "__chosen")
-    )
-    wordless = ~F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    keyed = docs.withColumn(
-        "__key", F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
-    )
-    kept = keyed.filter(~wordless).join(
-        chosen, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__chosen")), "left_semi"
+    """``docs`` with one row of each component: the one with the smallest id. Wordless rows all stay.
+
+    Only rows of components with several rows, found by a bit map over their keys, are joined with the
+    decision; the others pass without a shuffle. Of repeated rows that are chosen one stays.
+    """
+    rows, names = masked(docs)
+    found = stored(
+        classes(rows, id_col=names[id_col], text_col=names[text_col], **options)
+        .filter("component is not null")
+        .select("doc_id", "row_key", "component"),
+        "jaccard-classes",
     )
-    return kept.dropDuplicates([id_col, "__key"]).unionByName(keyed.filter(wordless)).select(
-        [F.col(f"`{c}`") for c in docs.columns]
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    several = found.groupBy("component").agg(F.count("*").alias("size"), F.min(order).alias("best")).filter("size > 1")
+    suspects = stored(
+        found.join(several, "component")
+        .select(F.col("row_key").alias("__suspect"), (F.col("row_key") == F.col("best.row_key")).alias("__keep"))
+        .distinct(),
+        "jaccard-suspects",
     )
+    bits = key_bits(suspects, "__suspect")
+    keyed = rows.withColumn("__key", F.xxhash64(F.col(names[id_col]).cast("long"), F.col(names[text_col])))
+
+    def part(hit: bool) -> DataFrame:
+        def choose(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            yield batch.filter(pa.array(in_bits(bits.value, batch.column("__key")) == hit))
+
+        return map_batches(keyed, keyed.schema, choose)
+
+    judged = part(True).join(suspects, F.col("__key") == F.col("__suspect"), "left")
+    apart = judged.filter("__keep is null")
+    chosen = judged.filter("__keep").dropDuplicates(["__key"])
+    kept = part(False).unionByName(apart.select(keyed.columns)).unionByName(chosen.select(keyed.columns))
+    return unmasked(kept, names)
 
 
 def op1_jaccard(spark, sf_dir) -> DataFrame:
