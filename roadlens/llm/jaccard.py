@@ -6,9 +6,9 @@
 2. Documents with the same shingle set are one *node*; nodes with the same prefix and size are one
    *group*. Postings are made per group; a shingle that only one group has in its prefix can be in no
    intersection there, so places are counted among the others. Pairs of groups are filtered by size, by
-   the places of each shared shingle, and by the number of them: what lies behind the prefix that ends
-   first can only add as much as that set has left. Only the group pairs that remain are expanded, and
-   their members verified on their whole sets.
+   the places of each shared shingle, by a signature of the prefixes, and by the number of shared
+   shingles: what lies behind the prefix that ends first can only add as much as that set has left. Only
+   the group pairs that remain are expanded, and their members verified on their whole sets.
 3. Groups of copies would give all pairs of their members. So each group is first compared with one
    other: of the hubs of its posting lists, the one it shares most with. What verifies is contracted
    to components. Then all remaining pairs are taken whose nodes are in different components. A list
@@ -151,17 +151,29 @@ def postings(groups: DataFrame) -> DataFrame:
     return map_batches(groups.select("grp", "n", "last", "prefix"), schema, spread)
 
 
+def _missing(own: str, other: str) -> F.Column:
+    """At least so many shingles of one prefix are not in the other: the bits only its signature has."""
+    count = F.lit(0)
+    for word in ("sig0", "sig1"):
+        count = count + F.bit_count(F.col(f"{own}.{word}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{word}"))))
+    return count
+
+
 def _may_link(a: str, b: str, threshold: int) -> F.Column:
     """Whether the sets of two postings of one shingle can still be similar enough.
 
     ``at`` counts the shared shingles before it in the prefix, ``most`` what of the set can be shared at
-    all. Before the shingle at most the lesser ``at`` are common, behind it the lesser rest.
+    all. Before the shingle at most the lesser ``at`` are common, behind it the lesser rest. Of the
+    prefix that ends first, a shingle that the other lacks is not in the other set either.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     before = F.least(F.col(f"{a}.at"), F.col(f"{b}.at"))
     behind = F.least(F.col(f"{a}.most") - F.col(f"{a}.at"), F.col(f"{b}.most") - F.col(f"{b}.at"))
     need = F.floor((threshold * (n + m) + 99 + threshold) / (100 + threshold))
-    return (100 * n >= threshold * m) & (100 * m >= threshold * n) & (before + behind >= need)
+    left = F.when(
+        F.col(f"{a}.last") <= F.col(f"{b}.last"), F.col(f"{a}.most") - _missing(a, b)
+    ).otherwise(F.col(f"{b}.most") - _missing(b, a))
+    return (100 * n >= threshold * m) & (100 * m >= threshold * n) & (before + behind >= need) & (left >= need)
 
 
 def enough_shared(pairs: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
@@ -281,11 +293,14 @@ def classes(
     lists = posted.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
     prefix = Window.partitionBy("grp", "n", "last")
     behind = F.floor((F.col("n") * threshold + 99) / 100) - 1
+    bit = F.expr("shiftleft(1L, cast(token & 63 as int))")
     shared = stored(
         posted.join(lists, "token")
         .withColumn("at", F.row_number().over(prefix.orderBy("pos")) - 1)
         .withColumn("most", (F.count("*").over(prefix) + behind).cast("int"))
-        .select("token", "grp", "n", "at", "most", "size"),
+        .withColumn("sig0", F.bit_or(F.when(F.col("token").bitwiseAND(64) == 0, bit).otherwise(0)).over(prefix))
+        .withColumn("sig1", F.bit_or(F.when(F.col("token").bitwiseAND(64) != 0, bit).otherwise(0)).over(prefix))
+        .select("token", "grp", "n", "last", "at", "most", "sig0", "sig1", "size"),
         "jaccard-postings",
     )
     members = nodes.select("grp", "node")
@@ -294,7 +309,7 @@ def classes(
     # with the most neighbours over all its lists is the hub: the original among its copies.
     central = shared.groupBy("grp").agg(F.sum("size").alias("near"))
     ranked = shared.join(central, "grp")
-    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "at", "most")).alias("hub"))
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "last", "at", "most", "sig0", "sig1")).alias("hub"))
     best = (
         shared.alias("own").join(hubs, "token")
         .filter((F.col("hub.grp") != F.col("own.grp")) & _may_link("hub", "own", threshold))
