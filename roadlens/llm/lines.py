@@ -4,7 +4,8 @@ The text lines of a page are what stands between its tags. A line's frequency is
 host's pages that have it; lines above ``MAX_SHARE`` that are on ``MIN_PAGES`` pages at least are
 boilerplate and go. Since a boilerplate line is on more than a fixed share of the pages, a host has at
 most (lines of a mean page / ``MAX_SHARE``) of them: they travel to the pages as one array per host,
-and pages are never taken apart into rows again. A page counts a line once.
+and pages are never taken apart into rows again. Only 64-bit hashes of lines are shuffled and counted;
+the lines themselves are read again from the pages. A page counts a line once.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.frames import stored, table
+from roadlens.llm.frames import table
 from roadlens.llm.urls import host_of
 
 MAX_SHARE = 0.2
@@ -28,10 +29,14 @@ def lines_of(html: F.Column) -> F.Column:
     return F.filter(trimmed, lambda x: x != "")
 
 
+def _hashes(lines: F.Column) -> F.Column:
+    return F.transform(lines, lambda x: F.xxhash64(x))
+
+
 def boilerplate(rows: DataFrame, max_share: float = MAX_SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """Per host (rows: host, lines) the array of its boilerplate lines."""
+    """Per host (rows: host, lines) the array of the hashes of its boilerplate lines."""
     pages = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    on = rows.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(
+    on = rows.select("host", F.explode(_hashes(F.array_distinct("lines"))).alias("line")).groupBy("host", "line").agg(
         F.count("*").alias("n")
     )
     return (
@@ -52,14 +57,12 @@ def dedup(
     Null urls and urls without ``://`` share the empty host. Null html has no lines and counts as a
     page. Repeated rows are pages of their own. An empty table gives an empty result.
     """
-    rows = stored(
-        pages.select(
-            F.col(f"`{id_col}`").alias("page_id"), host_of(F.col(f"`{url_col}`")).alias("host"),
-            lines_of(F.col(f"`{html_col}`")).alias("lines"),
-        ),
-        "page-lines",
+    rows = pages.select(
+        F.col(f"`{id_col}`").alias("page_id"), host_of(F.col(f"`{url_col}`")).alias("host"),
+        lines_of(F.col(f"`{html_col}`")).alias("lines"),
     )
-    left = F.filter("lines", lambda x: ~F.array_contains(F.coalesce("dropped", F.array().cast("array<string>")), x))
+    dropped = F.coalesce("dropped", F.array().cast("array<bigint>"))
+    left = F.filter("lines", lambda x: ~F.array_contains(dropped, F.xxhash64(x)))
     return (
         rows.join(boilerplate(rows, max_share, min_pages), "host", "left")
         .withColumn("_left", left)
