@@ -97,10 +97,13 @@ def templates(urls: DataFrame, max_depth: int = MAX_DEPTH, min_share: float = MI
         branches = counts.groupBy("host", "node", "_here").agg(
             F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
         )
-        parent = Window.partitionBy("host", "node")
-        constants = branches.withColumn("_all", F.sum("n").over(parent)).filter(
-            (F.col("n") >= min_urls) & (F.col("n") >= F.col("_all") * min_share)
-        ).drop("_all")
+        through = branches.groupBy("host", "node").agg(F.sum("n").alias("_all"))
+        constants = (
+            branches.filter(F.col("n") >= min_urls)
+            .join(through, ["host", "node"])
+            .filter(F.col("n") >= F.col("_all") * min_share)
+            .drop("_all")
+        )
         constants = _merged(stored(constants, "url-branches"), counts)
         rows = stored(
             rows.join(
