@@ -1,6 +1,6 @@
 """Language-model scoring: a bigram model with Katz backoff and Good-Turing discounts.
 
-The corpus is cut into *chunks* of some million tokens, each a row with its own vocabulary and tokens
+The corpus is cut into *chunks* of some 800 000 tokens, each a row with its own vocabulary and tokens
 as packed arrays. All counting and lookups are exchanges between chunks and *parts*: a chunk sends its
 distinct words, or word pairs, once to the part that owns them, and gets their corpus counts back in
 the same order. So what is shuffled are distinct n-grams of a chunk, not tokens, and no n-gram, however
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from roadlens.llm import kernels
 from roadlens.llm.frames import small_batches, stored, table
 
-CHUNK_TOKENS = 1_200_000
-PART_TOKENS = 1_500_000
+CHUNK_TOKENS = 800_000
+PART_TOKENS = 1_000_000
 DISCOUNTED = 5
 FOLDS = 5
 HELD_OUT = 1
@@ -237,9 +237,11 @@ def _joined(kept: DataFrame, *answers: tuple[DataFrame, str]) -> DataFrame:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one; what Arrow keeps of those that are done goes back to the system."""
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+            pa.default_memory_pool().release_unused()
 
 
 def count_words(kept: DataFrame, parts: int) -> tuple[DataFrame, np.ndarray]:
