@@ -6,9 +6,9 @@
 2. Documents with the same shingle set are one *node*; nodes with the same prefix and size are one
    *group*. Postings are made per group; a shingle that only one group has in its prefix can be in no
    intersection there, so places are counted among the others. Pairs of groups are filtered by size, by
-   the places of each shared shingle, by a signature of the prefixes, and by the number of shared
-   shingles: what lies behind the prefix that ends first can only add as much as that set has left. Only
-   the group pairs that remain are expanded, and their members verified on their whole sets.
+   the places of each shared shingle, and by a signature that counts what the prefix that ends first has
+   and the other lacks. Only the group pairs that remain are expanded, and their members verified on
+   their whole sets.
 3. Groups of copies would give all pairs of their members. So each group is first compared with one
    other: of the hubs of its posting lists, the one it shares most with. What verifies is contracted
    to components. Then all remaining pairs are taken whose nodes are in different components. A list
@@ -164,7 +164,8 @@ def _may_link(a: str, b: str, threshold: int) -> F.Column:
 
     ``at`` counts the shared shingles before it in the prefix, ``most`` what of the set can be shared at
     all. Before the shingle at most the lesser ``at`` are common, behind it the lesser rest. Of the
-    prefix that ends first, a shingle that the other lacks is not in the other set either.
+    prefix that ends first, a shingle that the other lacks is not in the other set either. The smaller
+    set has a common shingle already in the ``short`` part of its prefix.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     before = F.least(F.col(f"{a}.at"), F.col(f"{b}.at"))
@@ -173,22 +174,11 @@ def _may_link(a: str, b: str, threshold: int) -> F.Column:
     left = F.when(
         F.col(f"{a}.last") <= F.col(f"{b}.last"), F.col(f"{a}.most") - _missing(a, b)
     ).otherwise(F.col(f"{b}.most") - _missing(b, a))
-    return (100 * n >= threshold * m) & (100 * m >= threshold * n) & (before + behind >= need) & (left >= need)
-
-
-def enough_shared(pairs: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
-    """Group pairs (ga, gb, c shared prefix shingles) whose sets can still be similar enough.
-
-    Of the two prefixes one ends first in the order. All common shingles up to there are in both
-    prefixes; behind it there are at most as many as its set has left.
-    """
-    sized = groups.select("grp", "n", "last")
-    one = sized.toDF("ga", "na", "la")
-    two = sized.toDF("gb", "nb", "lb")
-    left = F.when(F.col("la") <= F.col("lb"), F.col("na")).otherwise(F.col("nb"))
-    behind = F.floor((left * threshold + 99) / 100) - 1
-    need = F.floor((threshold * (F.col("na") + F.col("nb")) + 99 + threshold) / (100 + threshold))
-    return pairs.join(one, "ga").join(two, "gb").filter(F.col("c") + behind >= need).select("ga", "gb").distinct()
+    smaller = (n < m) | ((n == m) & (F.col(f"{a}.grp") < F.col(f"{b}.grp")))
+    early = F.when(smaller, F.col(f"{a}.short")).otherwise(F.col(f"{b}.short"))
+    return (
+        early & (100 * n >= threshold * m) & (100 * m >= threshold * n) & (before + behind >= need) & (left >= need)
+    )
 
 
 def key_bits(keys: DataFrame, column: str):
@@ -300,7 +290,8 @@ def classes(
         .withColumn("most", (F.count("*").over(prefix) + behind).cast("int"))
         .withColumn("sig0", F.bit_or(F.when(F.col("token").bitwiseAND(64) == 0, bit).otherwise(0)).over(prefix))
         .withColumn("sig1", F.bit_or(F.when(F.col("token").bitwiseAND(64) != 0, bit).otherwise(0)).over(prefix))
-        .select("token", "grp", "n", "last", "at", "most", "sig0", "sig1", "size"),
+        .withColumn("short", F.col("pos") <= F.col("n") - F.floor((2 * threshold * F.col("n") + 99 + threshold) / (100 + threshold)))
+        .select("token", "grp", "n", "last", "at", "most", "short", "sig0", "sig1", "size"),
         "jaccard-postings",
     )
     members = nodes.select("grp", "node")
@@ -309,7 +300,7 @@ def classes(
     # with the most neighbours over all its lists is the hub: the original among its copies.
     central = shared.groupBy("grp").agg(F.sum("size").alias("near"))
     ranked = shared.join(central, "grp")
-    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "last", "at", "most", "sig0", "sig1")).alias("hub"))
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "last", "at", "most", "short", "sig0", "sig1")).alias("hub"))
     best = (
         shared.alias("own").join(hubs, "token")
         .filter((F.col("hub.grp") != F.col("own.grp")) & _may_link("hub", "own", threshold))
@@ -349,9 +340,7 @@ def classes(
         & _may_link("a", "b", threshold)
     )
     # which of the two is the outsider may change from list to list
-    low, high = F.least("a.grp", "b.grp"), F.greatest("a.grp", "b.grp")
-    pairs = meet.groupBy(low.alias("ga"), high.alias("gb")).agg(F.count("*").alias("c"))
-    left = enough_shared(pairs, groups, threshold)
+    left = meet.select(F.least("a.grp", "b.grp").alias("ga"), F.greatest("a.grp", "b.grp").alias("gb")).distinct()
     one = labelled.select(F.col("grp").alias("ga"), F.col("node").alias("u"), F.col("comp").alias("cu"))
     two = labelled.select(F.col("grp").alias("gb"), F.col("node").alias("v"), F.col("comp").alias("cv"))
     across = left.join(one, "ga").join(two, "gb").filter("cu != cv").select("u", "v")
