@@ -5,10 +5,10 @@
    everywhere, which is all that prefix filtering needs; rare shingles come first.
 2. Documents with the same shingle set are one *node*; nodes with the same prefix and size are one
    *group*. Postings are made per group; a shingle that only one group has in its prefix can be in no
-   intersection there, so places are counted among the others. Pairs of groups are filtered by size, by
-   the places of each shared shingle, and by a signature that counts what the prefix that ends first has
-   and the other lacks. Only the group pairs that remain are expanded, and their members verified on
-   their whole sets.
+   intersection with a prefix that ends no earlier, so of the prefix that ends first only the others
+   count. Pairs of groups are filtered by size, by the places of each shared shingle, and by a signature
+   that counts what the prefix that ends first has and the other lacks. Only the group pairs that remain
+   are expanded, and their members verified on their whole sets.
 3. Groups of copies would give all pairs of their members. So each group is first compared with one
    other: of the hubs of its posting lists, the one it shares most with. What verifies is contracted
    to components. Then all remaining pairs are taken whose nodes are in different components. A list
@@ -162,23 +162,26 @@ def _missing(own: str, other: str) -> F.Column:
 def _may_link(a: str, b: str, threshold: int) -> F.Column:
     """Whether the sets of two postings of one shingle can still be similar enough.
 
-    ``at`` counts the shared shingles before it in the prefix, ``most`` what of the set can be shared at
-    all. Before the shingle at most the lesser ``at`` are common, behind it the lesser rest. Of the
-    prefix that ends first, a shingle that the other lacks is not in the other set either. The smaller
-    set has a common shingle already in the ``short`` part of its prefix.
+    ``at`` counts the shared shingles before it in the prefix, ``most`` what of the set can be shared with
+    prefixes that end no earlier. Before the shingle at most the lesser ``at`` are common, behind it the
+    lesser rest. Of the prefix that ends first, a shingle that the other lacks is not in the other set
+    either. Of the prefix that ends last, the other set may have a shingle behind its own prefix, where
+    no posting tells: all that follows the shingle's place ``pos`` counts. The smaller set has a common
+    shingle already in the ``short`` part of its prefix.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     before = F.least(F.col(f"{a}.at"), F.col(f"{b}.at"))
-    behind = F.least(F.col(f"{a}.most") - F.col(f"{a}.at"), F.col(f"{b}.most") - F.col(f"{b}.at"))
     need = F.floor((threshold * (n + m) + 99 + threshold) / (100 + threshold))
-    left = F.when(
-        F.col(f"{a}.last") <= F.col(f"{b}.last"), F.col(f"{a}.most") - _missing(a, b)
-    ).otherwise(F.col(f"{b}.most") - _missing(b, a))
+
+    def bounds(first: str, other: str) -> F.Column:
+        most = F.col(f"{first}.most")
+        behind = F.least(most - F.col(f"{first}.at"), F.col(f"{other}.n") - F.col(f"{other}.pos"))
+        return (before + behind >= need) & (most - _missing(first, other) >= need)
+
+    enough = F.when(F.col(f"{a}.last") <= F.col(f"{b}.last"), bounds(a, b)).otherwise(bounds(b, a))
     smaller = (n < m) | ((n == m) & (F.col(f"{a}.grp") < F.col(f"{b}.grp")))
     early = F.when(smaller, F.col(f"{a}.short")).otherwise(F.col(f"{b}.short"))
-    return (
-        early & (100 * n >= threshold * m) & (100 * m >= threshold * n) & (before + behind >= need) & (left >= need)
-    )
+    return early & (100 * n >= threshold * m) & (100 * m >= threshold * n) & enough
 
 
 def key_bits(keys: DataFrame, column: str):
@@ -291,7 +294,7 @@ def classes(
         .withColumn("sig0", F.bit_or(F.when(F.col("token").bitwiseAND(64) == 0, bit).otherwise(0)).over(prefix))
         .withColumn("sig1", F.bit_or(F.when(F.col("token").bitwiseAND(64) != 0, bit).otherwise(0)).over(prefix))
         .withColumn("short", F.col("pos") <= F.col("n") - F.floor((2 * threshold * F.col("n") + 99 + threshold) / (100 + threshold)))
-        .select("token", "grp", "n", "last", "at", "most", "short", "sig0", "sig1", "size"),
+        .select("token", "grp", "n", "last", "pos", "at", "most", "short", "sig0", "sig1", "size"),
         "jaccard-postings",
     )
     members = nodes.select("grp", "node")
@@ -300,7 +303,7 @@ def classes(
     # with the most neighbours over all its lists is the hub: the original among its copies.
     central = shared.groupBy("grp").agg(F.sum("size").alias("near"))
     ranked = shared.join(central, "grp")
-    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "last", "at", "most", "short", "sig0", "sig1")).alias("hub"))
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "last", "pos", "at", "most", "short", "sig0", "sig1")).alias("hub"))
     best = (
         shared.alias("own").join(hubs, "token")
         .filter((F.col("hub.grp") != F.col("own.grp")) & _may_link("hub", "own", threshold))

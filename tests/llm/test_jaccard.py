@@ -53,6 +53,20 @@ def test_chain_and_short_sets(spark):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 90, 3)
 
 
+@pytest.mark.parametrize(("threshold", "n", "more"), [(90, 3, 8), (90, 3, 11), (80, 5, 20), (80, 5, 25)])
+def test_added_text(spark, threshold, n, more):
+    """Texts and copies that only go on longer, or lack their start; no third text shares a shingle."""
+    rows = []
+    for k in range(60):
+        words = [f"w{k}x{i}" for i in range(100 + n - 1 + more)]
+        whole, cut = " ".join(words), " ".join(words[:-more] if k % 2 else words[more:])
+        rows += [(2 * k, whole, "en", "a"), (2 * k + 1, cut, "en", "a")]
+    got = jaccard.classes(frame(spark, rows), threshold, n).select("doc_id", "n_shingles", "component_id")
+    want = brute(rows, threshold, n)
+    assert sum(c != i for i, _, c in want) == 60
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
 def test_one_of_each(spark):
     rows = documents()
     docs = frame(spark, rows)
