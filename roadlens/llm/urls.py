@@ -4,15 +4,17 @@ Paths are cut into segments. A segment's *symbol* is the segment itself where it
 branch, and ``*`` (with its extension, if any) where it varies: a segment is constant if at least a
 ``min_share`` part of the urls that come through its parent has it. So a parent has a bounded number of
 constants, however many urls it has. The tree is grown level by level with one aggregation a level,
-down to ``max_depth`` segments; what is deeper is one wildcard tail.
+down to ``max_depth`` segments; what is deeper is one wildcard tail. A segment that the rule of a url
+names is a constant however few urls have it, and where the rule names the start of a segment, the
+wildcard keeps that start: no wildcard mixes urls that a rule decides by their path with others.
 
 Sibling branches that behave alike are merged: a constant goes into the merged branch ``{a|b}`` of its
 parent when its label rate and the symbols that follow it agree, within Hoeffding's bound, with the
 siblings of its kind together. Each url thereby has a template. Labels are the verdicts of the rules that fit a
-url; a template's purity is its share of blocked urls among its labelled ones, smoothed by the rate of
-its parent, whose rate is smoothed by its own parent, up to that of the whole table. The rates of hosts
-and of the whole table are over all urls, so unlabelled ones speak for them, and a template without
-labels is rejected only where most of its host is blocked. Templates whose smoothed purity reaches ``threshold`` are
+url; a template's purity is its share of blocked urls, smoothed by the rate of its parent, whose rate is
+smoothed by its own parent, up to that of the whole table. Rates are over all urls, so unlabelled ones
+speak for them too; a branch without labels has no rate of its own and follows its parent. So it is
+rejected only where most of what is around it is blocked. Templates whose smoothed purity reaches ``threshold`` are
 rejected.
 """
 
@@ -81,30 +83,35 @@ def _wild(segment: F.Column) -> F.Column:
 
 
 def templates(urls: DataFrame, max_depth: int = MAX_DEPTH, min_share: float = MIN_SHARE, min_urls: int = MIN_URLS) -> DataFrame:
-    """Adds ``template`` to rows with host, path and ``blocked`` (1, 0, or null where unlabelled).
+    """Adds ``template`` to rows with host, path, rule and ``blocked`` (1, 0, or null where unlabelled).
 
     One aggregation and one join with the bounded constants per level; merging needs another of each.
     """
     rows = urls.withColumn("_seg", segments(F.col("path"), max_depth)).withColumn("node", F.lit(""))
     deepest = rows.agg(F.max(F.size("_seg"))).first()[0] or 0
+    named = segments(F.regexp_replace(F.coalesce("rule", F.lit("/")), "^[^/]*", ""), max_depth)
+    whole = F.size(named) - 1
     for level in range(1, deepest + 1):
         here = F.get("_seg", F.lit(level - 1))
         rows = rows.withColumn("_here", here)
         following = F.coalesce(_wild(F.get("_seg", F.lit(level))), F.lit("$"))
         counts = rows.filter("_here is not null").groupBy("host", "node", "_here", following.alias("_next")).agg(
-            F.count("*").alias("n"), F.count("blocked").alias("labelled"), F.sum("blocked").alias("bad")
+            F.count("*").alias("n"), F.count("blocked").alias("labelled"), F.sum("blocked").alias("bad"),
+            F.max(whole >= level).alias("ruled"),
         )
         branches = counts.groupBy("host", "node", "_here").agg(
             F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
+            F.max("ruled").alias("ruled"),
         )
         through = branches.groupBy("host", "node").agg(F.sum("n").alias("_all"))
         constants = (
-            branches.filter(F.col("n") >= min_urls)
+            branches.filter((F.col("n") >= min_urls) | F.col("ruled"))
             .join(through, ["host", "node"])
-            .filter(F.col("n") >= F.col("_all") * min_share)
-            .drop("_all")
+            .filter((F.col("n") >= F.col("_all") * min_share) | F.col("ruled"))
+            .drop("_all", "ruled")
         )
         constants = _merged(stored(constants, "url-branches"), counts)
+        start = F.when(whole == level - 1, F.element_at(named, -1)).otherwise("")
         rows = stored(
             rows.join(
                 constants.select(
@@ -116,7 +123,7 @@ def templates(urls: DataFrame, max_depth: int = MAX_DEPTH, min_share: float = MI
             .withColumn(
                 "node",
                 F.when(F.col("_here").isNull(), F.col("node")).otherwise(
-                    F.concat_ws("/", "node", F.coalesce("symbol", _wild(F.col("_here"))))
+                    F.concat_ws("/", "node", F.coalesce("symbol", F.concat(start, _wild(F.col("_here")))))
                 ),
             )
             .drop("_h", "_n", "_s", "symbol", "_here"),
@@ -165,7 +172,7 @@ def _merged(constants: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def purities(rows: DataFrame, prior: float = PRIOR) -> DataFrame:
-    """Per host and template: labelled urls, blocked ones and the purity smoothed up the tree."""
+    """Per host and template: urls, labelled and blocked ones and the purity smoothed up the tree."""
     whole = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b")).first()
     purity = F.lit(whole["b"] / whole["n"] if whole["n"] else 0.0)
     per_template = stored(
@@ -180,7 +187,8 @@ def purities(rows: DataFrame, prior: float = PRIOR) -> DataFrame:
     for depth in range(1, deepest + 1):
         above = Window.partitionBy("host", F.array_join(F.slice(steps, 1, depth), "/"))
         reaches = F.size(steps) >= depth
-        urls = F.sum("n" if depth == 1 else "labelled").over(above)
+        labelled = F.sum("labelled").over(above) > 0
+        urls = F.sum("n").over(above) if depth == 1 else F.when(labelled, F.sum("n").over(above)).otherwise(0)
         own = (F.sum("bad").over(above) + prior * F.col("purity")) / (urls + prior)
         smoothed = smoothed.withColumn("purity", F.when(reaches, own).otherwise(F.col("purity")))
     return smoothed

@@ -110,6 +110,22 @@ def test_templates_and_purity(spark):
     assert {r.verdict for r in got.filter("host = 'bad.net' and path like '/zz/%'").collect()} == {"block"}
 
 
+def test_rare_sections_of_a_rule(spark):
+    """Sections too small for a constant do not take clean ones with them, on large hosts or small."""
+    names = ["es", "fr", *(f"l{k}" for k in range(28))]
+    made = [f"http://big.net/{a}/{i}" for a in names for i in range(20)]
+    made += [f"http://small.net/{a}/{i}" for a, n in (("es", 3), ("fr", 2), ("de", 2), ("en", 30)) for i in range(n)]
+    got = urls.judge(spark.createDataFrame(list(enumerate(made)), "page_id long, url string")).collect()
+    assert len(got) == len(made)
+    for r in got:
+        assert r.verdict == ("block" if r.path.startswith(("/es/", "/fr/")) else "allow"), (r.host, r.path, r.purity)
+    rules = (("net/a/fo", "block"),)
+    made = [f"http://h.net/a/{s}{i}/x" for s in ("fo", "no") for i in range(40)] + [f"http://h.net/b/{i}" for i in range(60)]
+    got = urls.judge(spark.createDataFrame(list(enumerate(made)), "page_id long, url string"), rules=rules).collect()
+    assert {r.template for r in got if r.path.startswith("/a/fo")} == {"/a/fo*/x"}
+    assert all(r.verdict == ("block" if r.path.startswith("/a/fo") else "allow") for r in got)
+
+
 def test_line_dedup(spark):
     rows = [(i, "http://h.org/", f"<p>same</p><p>line {i}</p><p>same</p>") for i in range(10)]
     rows += [(100 + i, "http://small.org/", "<p>twice</p>") for i in range(2)] + [(200, None, None), (201, "x", "")]
