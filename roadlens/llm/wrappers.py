@@ -9,8 +9,9 @@ a slot, and what only one side has becomes an optional group. Hosts with very ma
 in two levels, as wrappers can be aligned with each other.
 
 Slots of the wrapper are main text unless they lie in a container that is chrome by its tag, class or
-id. Where the wrapper has an article or main element, only its slots count; otherwise the container
-with the largest changing text does, without text that is the same on all pages.
+id. Where the wrapper has an article or main element, only its slots count; otherwise all others do,
+without text that is the same on all pages that have it. That takes ``FEW_PAGES`` pages at least: what
+one page alone has, in a group of its own, is its text and no boilerplate.
 """
 
 from __future__ import annotations
@@ -55,6 +56,8 @@ _NAME = re.compile(r"""(?:^|\s)(class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _DIGITS = re.compile(r"\d+")
 _SELF_CLOSING = frozenset(["p", "li"])
 MAX_UNIT = 8
+#: On so many pages a text has to be the same to be taken for boilerplate.
+FEW_PAGES = 3
 
 
 def stream(page: str) -> tuple[list[str], list[str]]:
@@ -214,20 +217,24 @@ def merge(a: list[dict], b: list[dict]) -> list[dict]:
             merged.append({**(b[j] if i is None else a[i]), "optional": True})
             continue
         slots = [
-            {"chars": x["chars"] + y["chars"], "low": min(x["low"], y["low"]), "high": max(x["high"], y["high"])}
+            {"chars": x["chars"] + y["chars"], "pages": x["pages"] + y["pages"], "low": min(x["low"], y["low"]), "high": max(x["high"], y["high"])}
             for x, y in zip(a[i]["slots"], b[j]["slots"], strict=True)
         ]
         merged.append({"shape": a[i]["shape"], "path": a[i]["path"], "optional": a[i]["optional"] or b[j]["optional"], "slots": slots})
     return merged
 
 
+def _changes(slot: dict) -> bool:
+    return slot["low"] != slot["high"] or slot["pages"] < FEW_PAGES
+
+
 def expression(wrapper: list[dict]) -> str:
     """The wrapper as a regular expression over tokens; ``#`` stands for changing text."""
 
     def text(shape, slots: Iterator[dict]) -> str:
         if shape == "#":
             slot = next(slots)
-            return "#" if slot["low"] != slot["high"] else "text"
+            return "#" if _changes(slot) else "text"
         return shape if isinstance(shape, str) else "(" + " ".join(text(s, slots) for s in shape[1:]) + ")+"
 
     parts: list[str] = []
@@ -287,16 +294,9 @@ def main_slots(wrapper: list[dict]) -> list[bool]:
     in_main = [f and any(e.split(".")[0] in MAIN for e in p) for f, p in zip(free, paths, strict=True)]
     if any(in_main):
         return in_main
-    changing = [f and s["low"] != s["high"] for f, s in zip(free, slots, strict=True)]
-    if not any(changing):
-        return free
-    mass: dict[tuple[str, ...], int] = {}
-    for ok, path, slot in zip(changing, paths, slots, strict=True):
-        if ok:
-            # the element right around a text is its block; the container is what the block lies in
-            mass[path[:-1]] = mass.get(path[:-1], 0) + slot["chars"]
-    container = max(mass, key=lambda p: (mass[p], p))
-    return [ok and p[: len(container)] == container for ok, p in zip(changing, paths, strict=True)]
+    # blocks of one article lie side by side in several containers, so no container is left out
+    changing = [f and _changes(s) for f, s in zip(free, slots, strict=True)]
+    return changing if any(changing) else free
 
 
 def _shape_of(page: str) -> tuple[str, list, list[str]]:
@@ -310,12 +310,12 @@ def _digest(shape: str) -> bytes:
 
 
 def shapes(pages: DataFrame) -> DataFrame:
-    """Distinct shapes of every host with, per text slot, characters and the range of its text hashes.
+    """Distinct shapes of every host with, per text slot, characters, pages and the range of its text hashes.
 
     A slot whose range is one value has the same text everywhere.
     """
     small_batches(pages.sparkSession)
-    schema = "host string, digest binary, shape string, slot int, chars long, low long, high long"
+    schema = "host string, digest binary, shape string, slot int, chars long, pages long, low long, high long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,15 +323,16 @@ def shapes(pages: DataFrame) -> DataFrame:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 shape, items, texts = _shape_of(page or "")
                 leaves = [leaf for _, own in items for leaf in own]
-                sums = seen.setdefault((host, shape), [[0, (1 << 63) - 1, -(1 << 63)] for _ in leaves])
+                sums = seen.setdefault((host, shape), [[0, 0, (1 << 63) - 1, -(1 << 63)] for _ in leaves])
                 for total, leaf in zip(sums, leaves, strict=True):
                     whole = xxhash.xxh3_64_intdigest("\n".join(texts[i] for i in leaf).encode()) - (1 << 63)
                     total[0] += sum(len(texts[i]) for i in leaf)
-                    total[1], total[2] = min(total[1], whole), max(total[2], whole)
+                    total[1] += 1
+                    total[2], total[3] = min(total[2], whole), max(total[3], whole)
             rows = [
                 (host, _digest(shape), shape, slot, *total)
                 for (host, shape), sums in seen.items()
-                for slot, total in enumerate(sums or [[0, 0, 0]])
+                for slot, total in enumerate(sums or [[0, 0, 0, 0]])
             ]
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -339,17 +340,18 @@ def shapes(pages: DataFrame) -> DataFrame:
                         pa.array(c, t)
                         for c, t in zip(
                             zip(*rows, strict=True),
-                            (pa.string(), pa.binary(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()),
+                            (pa.string(), pa.binary(), pa.string(), pa.int32(), *[pa.int64()] * 4),
                             strict=True,
                         )
                     ],
-                    names=["host", "digest", "shape", "slot", "chars", "low", "high"],
+                    names=["host", "digest", "shape", "slot", "chars", "pages", "low", "high"],
                 )
 
     seen = pages.mapInArrow(count, schema).groupBy("host", "digest", "slot").agg(
-        F.first("shape").alias("shape"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high")
+        F.first("shape").alias("shape"), F.sum("chars").alias("chars"), F.sum("pages").alias("pages"),
+        F.min("low").alias("low"), F.max("high").alias("high")
     )
-    slots = F.array_sort(F.collect_list(F.struct("slot", "chars", "low", "high")))
+    slots = F.array_sort(F.collect_list(F.struct("slot", "chars", "pages", "low", "high")))
     return seen.groupBy("host", "digest").agg(F.first("shape").alias("shape"), slots.alias("slots"))
 
 
@@ -358,7 +360,7 @@ def _wrapper_of(shape: str, slots) -> list[dict]:
     stack: list[str] = []
     items = []
     for own in map(_thawed, json.loads(shape)):
-        totals = [{k: int(v[k]) for k in ("chars", "low", "high")} for v in (next(left) for _ in range(_slots(own)))]
+        totals = [{k: int(v[k]) for k in ("chars", "pages", "low", "high")} for v in (next(left) for _ in range(_slots(own)))]
         items.append({"shape": own, "path": tuple(stack), "optional": False, "slots": totals})
         _walk(own, stack, [])
     return items

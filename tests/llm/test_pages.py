@@ -51,6 +51,25 @@ def test_extraction(pages):
     assert wrappers.extract(pages.limit(0)).count() == 0
 
 
+def test_pages_without_article(spark):
+    """Whole texts of div pages: blocks that one page alone has, and headings and sections beside the text."""
+    single = {
+        1: "<h2>Alone</h2>", 3: "<blockquote>Said once</blockquote>", 5: "<ul><li>one</li><li>two</li></ul>",
+        7: "<table><tr><td>cell</td></tr></table>",
+    }
+    extra = {1: ["Alone"], 3: ["Said once"], 5: ["one", "two"], 7: ["cell"]}
+    rows, want = [], {}
+    for i in range(10):
+        rows.append((i, f"http://div.org/{i}", (
+            "<body><div class='menu'><p>Menu</p></div><div><p>Welcome to all</p></div>"
+            f"<div class='page'><div class='top'><h1>Title {i}</h1></div><div class='body'><p>First of {i}</p>{single.get(i, '')}"
+            f"<p>Last of {i}</p></div><div class='more'><p>Section of {i}</p></div></div></body>"
+        )))
+        want[i] = "\n".join([f"Title {i}", f"First of {i}", *extra.get(i, []), f"Last of {i}", f"Section of {i}"])
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
 def test_wrapper_of_a_host(pages):
     found = wrappers.shapes(pages.select(urls.host_of(pages.url).alias("host"), "html"))
     expression = {r.host: r.expression for r in wrappers.infer(found).collect()}["a.example.org"]
