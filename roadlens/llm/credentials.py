@@ -3,7 +3,8 @@
 Text that was written by people falls into few tokens of a vocabulary learned from such text; random
 strings fall into many. Every long run of letters, digits and ``+/_=-`` whose characters per token lie
 below ``MIN_RATIO`` is reported, unless it is a digest of a known length, a UUID, a number, or an
-identifier: parts joined by ``-_/=+`` of which each is a word or a number.
+identifier: parts joined by ``-_/=+`` of which each is a number, one token, or at ``MIN_RATIO`` by itself.
+Runs of letters alone are tested like all others.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 DIGEST = re.compile(r"([0-9a-f]+|[0-9A-F]+)")
 #: Hexadecimal lengths of common digests.
 DIGEST_LENGTHS = frozenset([32, 40, 56, 64, 96, 128])
-WORD = re.compile(r"([A-Z]?[a-z]+|[A-Z]+|[0-9]+)*")
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 MIN_RATIO = 2.2
 KINDS = ("assign", "access", "hex", "random")
@@ -51,14 +51,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def is_identifier(run: str) -> bool:
-    """Digests, UUIDs, numbers, and words or numbers joined by separators."""
+def is_identifier(run: str, encoding, min_ratio: float = MIN_RATIO) -> bool:
+    """Digests, UUIDs, numbers, and numbers or parts of few tokens joined by separators."""
     if UUID.fullmatch(run) or (len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run)):
         return True
-    for part in re.split(r"[-_/=+]+", run):
-        changes = sum(a.isdigit() != b.isdigit() for a, b in zip(part, part[1:], strict=False))
-        humps = len(re.findall(r"[a-z][A-Z]", part))
-        if changes > 1 or (humps and humps * 3 > len(part) / 3):
+    for part in filter(None, re.split(r"[-_/=+]+", run)):
+        tokens = 1 if part.isdigit() else len(encoding.encode_ordinary(part))
+        if tokens > 1 and len(part) / tokens < min_ratio:
             return False
     return True
 
@@ -75,11 +74,9 @@ def random_spans(text: str, known: list[tuple[int, int, int]], encoding, min_rat
     """Hard-to-spell runs that no known span covers, as (start, kind, end)."""
     for m in RUN.finditer(text):
         run = m[0]
-        if run.isalpha() or is_identifier(run):
-            continue
         if any(start <= m.start() and m.end() <= end for start, _, end in known):
             continue
-        if len(run) / len(encoding.encode_ordinary(run)) < min_ratio:
+        if len(run) / len(encoding.encode_ordinary(run)) < min_ratio and not is_identifier(run, encoding, min_ratio):
             yield m.start(), 3, m.end()
 
 

@@ -56,3 +56,16 @@ def test_random_strings_stand_out(spark):
     caught = sum(got[i] == f"random:4:{4 + len(x)}" for i, x in enumerate(hidden))
     assert caught >= 190
     assert not any("random" in got[200 + k] for k in range(len(plain)))
+
+
+def test_letters_alone(spark):
+    """Random letters, also as parts of a run, are found; words are not."""
+    rng = random.Random(4)
+    drawn = ["".join(rng.choice(string.ascii_letters) for _ in range(n)) for n in [16, 20, 32, 40] * 25]
+    drawn += ["".join(rng.choice(string.ascii_lowercase) for _ in range(32)) for _ in range(50)]
+    drawn += [f"key_{x}" for x in drawn[:50]]
+    plain = ["internationalization", "Rechtsschutzversicherung", "a_b_c_d_e_f_g_h_i", "2023-01-02/03-04-05", "HttpRequestHandlerFactory"]
+    rows = [(i, f"say {x}, then", "en", "a") for i, x in enumerate(drawn + plain)]
+    got = {r.doc_id: r.spans for r in secrets.scan(frame(spark, rows)).collect()}
+    assert sum(got[i] == f"random:4:{4 + len(x)}" for i, x in enumerate(drawn)) >= 190
+    assert not any("random" in got[len(drawn) + k] for k in range(len(plain)))
