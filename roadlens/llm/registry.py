@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from roadlens.llm import credentials, decontamination, jaccard, katz, lines, mixing, quality, sharding, urls, wrappers
+from roadlens.llm import (
+    credentials, decontamination, jaccard, katz, lines, mixing, periods, quality, sharding, urls, wrappers,
+)
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_extraction": wrappers.op9_extraction,
     "op10_quality": quality.op10_quality,
+    "op11_periods": periods.op11_periods,
 }
 SQL = {
     "op2_lines": lines.OP2_SQL,
