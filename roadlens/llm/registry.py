@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from roadlens.llm import (
-    credentials, decontamination, jaccard, katz, lines, mixing, periods, quality, sharding, urls, wrappers,
+    credentials, decontamination, hardneg, jaccard, katz, lines, mixing, periods, quality, sharding, urls, wrappers,
 )
 
 QUERIES = {
@@ -18,9 +18,11 @@ QUERIES = {
     "op9_extraction": wrappers.op9_extraction,
     "op10_quality": quality.op10_quality,
     "op11_periods": periods.op11_periods,
+    "op13_hard_negatives": hardneg.op13_hard_negatives,
 }
 SQL = {
     "op2_lines": lines.OP2_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op8_decontamination": decontamination.OP8_SQL,
+    "op13_hard_negatives": hardneg.OP13_SQL,
 }
