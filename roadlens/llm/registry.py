@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from roadlens.llm import (
-    credentials, decontamination, hardneg, jaccard, katz, lines, mixing, periods, quality, sharding, urls, wrappers,
+    credentials, decontamination, hardneg, jaccard, katz, lines, mixing, periods, personal, quality, sharding, urls, wrappers,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_extraction": wrappers.op9_extraction,
     "op10_quality": quality.op10_quality,
     "op11_periods": periods.op11_periods,
+    "op12_personal": personal.op12_personal,
     "op13_hard_negatives": hardneg.op13_hard_negatives,
 }
 SQL = {
