@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.operators.logistic import LogisticFit
+from roadlens.operators.logistic import fit as fit_logistic
 from roadlens.operators.sampling import class_weights
 
 FEATURES = "features"
@@ -68,23 +67,10 @@ def positive(column: str = "probability") -> Column:
 
 
 def logistic(
-    df: DataFrame, label: str, c: float = 1.0, weight: str | None = None, max_iter: int = 100
-):
+    df: DataFrame, label: str, c: float = 1.0, weight: str | None = None, max_iter: int = 500
+) -> LogisticFit:
     """L2 logistic regression with inverse strength ``c``, on encoded ``features``."""
-    total = F.count(F.lit(1)).cast("double") if weight is None else F.sum(weight)
-    # The weight total, the feature summary and the solver each pass over the rows.
-    rows = df.select(FEATURES, label, *([weight] if weight else [])).persist()
-    try:
-        mass = rows.agg(total).first()[0]
-        estimator = LogisticRegression(
-            featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * mass), elasticNetParam=0.0,
-            standardization=False, maxIter=max_iter,
-        )
-        if weight is not None:
-            estimator = estimator.setWeightCol(weight)
-        return estimator.fit(rows)
-    finally:
-        rows.unpersist()
+    return fit_logistic(df, label, c, weight, max_iter, FEATURES)
 
 
 def forest_classifier(df: DataFrame, label: str, size: Forest = Forest(), balanced: bool = True):
@@ -109,28 +95,7 @@ def linear(df: DataFrame, label: str):
     return LinearRegression(featuresCol=FEATURES, labelCol=label, regParam=0.0).fit(df)
 
 
-def boosted(
-    df: DataFrame,
-    label: str,
-    rounds: int = 100,
-    step: float = 0.3,
-    depth: int = 6,
-    stop_on: str | None = None,
-    tolerance: float = 0.01,
-    seed: int = 42,
-):
-    """Gradient-boosted trees; ``stop_on`` names a boolean column whose rows decide when added
-    rounds no longer help."""
-    estimator = GBTClassifier(
-        featuresCol=FEATURES, labelCol=label, maxIter=rounds, stepSize=step, maxDepth=depth,
-        seed=seed, validationTol=tolerance,
-    )
-    if stop_on:
-        estimator = estimator.setValidationIndicatorCol(stop_on)
-    return estimator.fit(df)
-
-
-def fit_sigmoid(df: DataFrame, margin: str, label: str):
+def fit_sigmoid(df: DataFrame, margin: str, label: str) -> LogisticFit:
     """Sigmoid calibration of ``margin`` (Platt's smoothed targets) on rows kept for it."""
     sizes = df.agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
@@ -143,17 +108,13 @@ def fit_sigmoid(df: DataFrame, margin: str, label: str):
         F.struct(F.lit(1.0).alias("y"), target.alias("w")),
         F.struct(F.lit(0.0).alias("y"), (1 - target).alias("w")),
     )
-    soft = df.select(F.col(margin).alias("margin"), F.inline(sides))
-    model = LogisticRegression(labelCol="y", weightCol="w", regParam=0.0)
-    return Pipeline(
-        stages=[VectorAssembler(inputCols=["margin"], outputCol=FEATURES), model]
-    ).fit(soft)
+    soft = df.select(F.array(margin).alias("margins"), F.inline(sides))
+    return fit_logistic(soft, "y", math.inf, "w", features="margins")
 
 
-def calibrated(df: DataFrame, sigmoid: PipelineModel, margin: str) -> Column:
+def calibrated(sigmoid: LogisticFit, margin: str) -> Column:
     """Probability of class 1 after calibration."""
-    model = sigmoid.stages[-1]
-    z = F.col(margin) * F.lit(float(model.coefficients[0])) + F.lit(float(model.intercept))
+    z = F.col(margin) * F.lit(float(sigmoid.coefficients[0])) + F.lit(sigmoid.intercept)
     return 1 / (1 + F.exp(-z))
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.derive import risky_event
 from roadlens.functions.rules import complete
-from roadlens.operators import evaluation, models, sampling, testing
+from roadlens.operators import evaluation, logistic, models, sampling, testing
 from roadlens.schema import RISK_FEATURES
+from roadlens.session import durable
 
 
 def intervention_result(clean: DataFrame) -> DataFrame:
@@ -16,11 +17,12 @@ def intervention_result(clean: DataFrame) -> DataFrame:
 
 
 def risk_model(
-    clean: DataFrame, key: str, test_share: float = 0.3, max_iter: int = 100
+    clean: DataFrame, key: str, test_share: float = 0.3, max_iter: int = 500
 ) -> dict[str, DataFrame]:
     """Balanced logistic regression on four features.
 
-    Tables: predictions (key, features, actual, class, probability), auc, report, coefficients.
+    Tables: predictions (key, features, actual, class, probability), auc, report, coefficients, fit (steps,
+    residual, converged) and score_equations, whose terms are zero at the solution.
     """
     features = list(RISK_FEATURES)
     rows = clean.select(key, *features, risky_event().alias("actual_risky_event"))
@@ -32,13 +34,14 @@ def risk_model(
     )
     model = models.logistic(train, "actual_risky_event", weight="w", max_iter=max_iter)
     scored = model.transform(encoder.transform(rows.filter("is_test")))
-    predictions = scored.select(
+    # AUC, report and predictions look at the same scored rows.
+    predictions = durable(scored.select(
         key,
         *features,
         "actual_risky_event",
         F.col("prediction").cast("int").alias("predicted_risky_event"),
-        models.positive().alias("predicted_prob"),
-    )
+        F.col("probability").alias("predicted_prob"),
+    ))
     pairs = predictions.select(
         F.lit("logistic").alias("model"), F.col("actual_risky_event").alias("y"),
         F.col("predicted_prob").alias("p"), F.col("predicted_risky_event").alias("pred"),
@@ -48,4 +51,6 @@ def risk_model(
         "auc": evaluation.roc_auc(pairs),
         "report": evaluation.classification_report(pairs),
         "coefficients": models.importance_table(train, model.coefficients, "coefficient"),
+        "fit": logistic.fit_table(train, model),
+        "score_equations": logistic.score_equations(train, model, features, "actual_risky_event", weight="w"),
     }

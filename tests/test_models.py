@@ -1,10 +1,12 @@
 """Models on rows with a planted signal."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadlens.operators import models
+from roadlens.operators import logistic, models
 from roadlens.operators.models import Forest
 from roadlens.plans import breakdown, driver_risk, effects, fuel
 from roadlens.schema import BREAKDOWN_FEATURES
@@ -88,8 +90,37 @@ def test_logistic_matches_the_penalised_optimum(spark):
         s = 0.05 * p * (1 - p)
         hess = np.array([[1 + (s * x * x).sum(), (s * x).sum()], [(s * x).sum(), s.sum()]])
         w, b = np.array([w, b]) - np.linalg.solve(hess, grad)
-    assert model.coefficients[0] == pytest.approx(w, abs=1e-4)
-    assert model.intercept == pytest.approx(b, abs=1e-4)
+    assert model.coefficients[0] == pytest.approx(w, abs=1e-8)
+    assert model.intercept == pytest.approx(b, abs=1e-8)
+    assert model.converged and model.iterations < 12
+
+
+def test_logistic_proves_itself(spark):
+    """Raw units of very different size, weights, and what does not converge."""
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.normal(1e4, 3e3, 900), rng.normal(0, 1e-3, 900), rng.integers(0, 2, 900)])
+    y = rng.random(900) < 1 / (1 + np.exp(-(x[:, 0] - 1e4) / 4e3 - x[:, 2]))
+    rows = [(*map(float, r), int(t), float(w)) for r, t, w in zip(x, y, rng.integers(1, 4, 900))]
+    df = spark.createDataFrame([*rows, (1.0, 1.0, 1.0, None, 1.0)], "a double, b double, c double, y int, w double")
+    encoded = models.encoder([], ["a", "b", "c"]).fit(df).transform(df)
+    model = models.logistic(encoded, "y", weight="w")
+    assert model.converged and model.residual < 1e-10
+    scores = logistic.score_equations(encoded.filter("y is not null"), model, ["a", "b", "c"], "y", weight="w").collect()
+    assert [r.feature for r in scores] == ["a", "b", "c", "intercept"]
+    assert all(abs(r.score) < 1e-5 for r in scores)
+    assert not models.logistic(encoded, "y", weight="w", max_iter=2).converged
+    apart = spark.createDataFrame([([float(i)], int(i > 3)) for i in range(8)], "x array<double>, y int")
+    assert not logistic.fit(apart, "y", c=np.inf, max_iter=20, features="x").converged
+
+
+def test_sigmoid_on_two_margins_has_a_closed_form(spark):
+    rows = [(-1.0, 0)] * 30 + [(-1.0, 1)] * 10 + [(2.0, 0)] * 5 + [(2.0, 1)] * 25
+    sigmoid = models.fit_sigmoid(spark.createDataFrame(rows, "m double, y int"), "m", "y")
+    high, low = 36 / 37, 1 / 37
+    rates = {m: sum(high if y else low for v, y in rows if v == m) / sum(v == m for v, _ in rows) for m in (-1.0, 2.0)}
+    for m, rate in rates.items():
+        z = sigmoid.coefficients[0] * m + sigmoid.intercept
+        assert 1 / (1 + np.exp(-z)) == pytest.approx(rate, abs=1e-9)
 
 
 def test_risk_model(clean):
@@ -109,7 +140,9 @@ def test_fuel_model(clean):
 
 
 def test_breakdown_model_beats_the_base_rate(clean):
-    made = breakdown.breakdown_model(clean, "trip_key", SMALL, rounds=3, rounds_stopped=4)
+    made = breakdown.breakdown_model(
+        clean, "trip_key", SMALL, replace(breakdown.FIXED, rounds=3), replace(breakdown.STOPPING, rounds=6, patience=3)
+    )
     metrics = {r.model: r for r in made["metrics"].collect()}
     assert set(metrics) == {m for m, _ in breakdown.MODELS}
     # Boosting splits on the in-between values of oversampled flags, so it gains less than the rest.
