@@ -24,7 +24,7 @@ def risk(c: Context):
 def breakdown_flow(c: Context):
     return c.once(
         "breakdown",
-        lambda: breakdown.breakdown_model(c.clean, KEY, SMALL),
+        lambda: breakdown.breakdown_model(c.clean, KEY),
     )
 
 

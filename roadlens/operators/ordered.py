@@ -1,9 +1,10 @@
 """Work that needs a global order (ranks, quantiles, running totals) without a one-task sort.
 
-Rows are first reduced to one row per distinct value, range-partitioned, and written to the
-checkpoint folder; totals of the slices then give every slice its starting offset. The checkpoint
-matters: range bounds come from a sample, and offsets and rows have to agree on them, also after
-a lost executor.
+Quantiles are selected digit by digit and order nothing. For ranks and running totals, rows are
+first reduced to one row per distinct value, range-partitioned, and written to the checkpoint
+folder; totals of the slices then give every slice its starting offset. The checkpoint matters:
+range bounds come from a sample, and offsets and rows have to agree on them, also after a lost
+executor.
 """
 
 from __future__ import annotations
@@ -84,32 +85,94 @@ def mid_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+#: Steps a binade is cut into once its least and greatest value are known.
+MANTISSA_STEPS = 1 << 16
+
+
+def _binade(v: Column) -> Column:
+    """Sign and power of two of a double, as one number in the order of the doubles."""
+    size = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0))) + 1200
+    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("int")
+
+
+def _step(v: Column, lo: Column, hi: Column) -> Column:
+    """Which of the even steps from ``lo`` to ``hi`` holds the value."""
+    return F.floor(F.coalesce(F.try_divide(v - lo, hi - lo), F.lit(0.0)) * MANTISSA_STEPS).cast("int")
+
+
+def _beside(rows: DataFrame, counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the other columns of the one count they belong to, NULL keys included."""
+    named = counted.withColumnsRenamed({k: f"{k}_of" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_of"))
+    return rows.join(named, same).drop(*[f"{k}_of" for k in keys])
+
+
 def quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: one row per group, columns ``q0, q1, ...`` in the
-    order of ``probs`` and ``n``."""
-    counted = value_counts(df, value, by=by)
-    v = F.col(value).cast("double")
-
-    def at(position: Column) -> Column:
-        inside = (F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n"))
-        return F.max(F.when(inside, v))
+    order of ``probs`` and ``n``.
 
-    parts = []
-    for i, p in enumerate(probs):
-        lower = F.floor((F.col("total_n") - 1) * F.lit(float(p)))
-        upper = F.least(lower + 1, F.col("total_n") - 1)
-        parts += [at(lower).alias(f"_lo{i}"), at(upper).alias(f"_hi{i}")]
-    picked = counted.groupBy(*by).agg(F.max("total_n").alias("n"), *parts)
+    Selected digit by digit, without ordering the rows: counts per power of two name the one that holds
+    a wanted rank, counts per step of its range name the step, and the values of that step, counted,
+    have the rank. Every count is combined before it is shuffled; ranks that share a step share the work.
+    NULL and NaN are left out, a NULL group is a group.
+    """
+    by = list(by)
+    group = [f"_g{i}" for i in range(len(by))]
+    v = F.col(value).cast("double")
+    rows = df.filter(v.isNotNull() & ~F.isnan(v)).select(
+        *[F.col(b).alias(g) for b, g in zip(by, group)], v.alias("_v"), _binade(v).alias("_e")
+    )
 
+    def ranks(n: Column) -> Column:
+        """Two ranks per quantile, with the number of the quantile and its end."""
+        wanted = []
+        for i, p in enumerate(probs):
+            lower = F.floor((n - 1) * F.lit(float(p)))
+            for side, rank in enumerate((lower, F.least(lower + 1, n - 1))):
+                wanted.append(F.struct(F.lit(2 * i + side).alias("t"), rank.cast("bigint").alias("rank"), n.alias("n")))
+        return F.array(*wanted)
+
+    def holding(counted: DataFrame, within: Sequence[str], order: str) -> DataFrame:
+        """Of the counts in ``order`` those that hold wanted ranks, with the ranks counted from their start."""
+        place = Window.partitionBy(*within or [F.lit(0)]).orderBy(order)
+        placed = counted.withColumn("_before", F.sum("_n").over(place) - F.col("_n"))
+        here = F.filter(
+            "_ranks", lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_n"))
+        )
+        held = placed.withColumn("_ranks", here).filter(F.size("_ranks") > 0)
+        moved = F.transform(
+            "_ranks", lambda r: F.struct(r["t"].alias("t"), (r["rank"] - F.col("_before")).alias("rank"), r["n"].alias("n"))
+        )
+        return held.withColumn("_ranks", moved).drop("_before", "_n")
+
+    number = F.count(F.lit(1)).alias("_n")
+    binades = rows.groupBy(*group, "_e").agg(number, F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    whole = F.sum("_n").over(Window.partitionBy(*group or [F.lit(0)]))
+    binades = holding(binades.withColumn("_ranks", ranks(whole)), group, "_e")
+    step = _step(F.col("_v"), F.col("_lo"), F.col("_hi"))
+    near = _beside(rows, binades, [*group, "_e"])
+    steps = near.groupBy(*group, "_e", step.alias("_d")).agg(
+        number, *[F.any_value(c).alias(c) for c in ("_lo", "_hi", "_ranks")]
+    )
+    steps = holding(steps, [*group, "_e"], "_d")
+    closer = _beside(rows, steps, [*group, "_e"]).filter(step == F.col("_d"))
+    values = closer.groupBy(*group, "_e", "_d", "_v").agg(number, F.any_value("_ranks").alias("_ranks"))
+    found = holding(values, [*group, "_e", "_d"], "_v").select(*group, "_v", F.inline("_ranks"))
+    ends = [F.max(F.when(F.col("t") == t, F.col("_v"))).alias(f"_t{t}") for t in range(2 * len(probs))]
+    picked = found.groupBy(*group).agg(F.max("n").alias("n"), *ends)
     def between(i: int, p: float) -> Column:
         position = (F.col("n") - 1) * F.lit(float(p))
         share = position - F.floor(position)
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        low, high = F.col(f"_t{2 * i}"), F.col(f"_t{2 * i + 1}")
         return (low + (high - low) * share).alias(f"q{i}")
 
-    return picked.select(*by, "n", *[between(i, p) for i, p in enumerate(probs)])
+    return picked.select(
+        *[F.col(g).alias(b) for g, b in zip(group, by)], "n", *[between(i, p) for i, p in enumerate(probs)]
+    )
 
 
 def quantile_bins(

@@ -96,3 +96,27 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, v double")
     assert ordered.value_counts(df, "v", by=["g"]).count() == 0
     assert ordered.quantiles(df, "v", [0.5], by=["g"]).count() == 0
+
+
+def test_quantiles_of_values_of_any_size(spark):
+    """Signs, zeros, subnormal and huge values, infinities, ties that hold most rows; no ordering of rows."""
+    rng = np.random.default_rng(2)
+    values = np.concatenate([
+        rng.normal(size=400), 10.0 ** rng.uniform(-320, 300, 300) * rng.choice([-1, 1], 300), np.zeros(500), [-0.0] * 20,
+        [1.5] * 900, rng.integers(-5, 5, 200), 1 + rng.random(300) * 1e-12, [np.inf, -np.inf, 5e-324, -5e-324],
+    ])
+    rng.shuffle(values)
+    df = spark.createDataFrame([(float(v), None if i % 3 else "g") for i, v in enumerate(values)], "v double, g string").repartition(4)
+    probs = [0.0, 0.01, 0.2, 0.25, 0.5, 0.61, 0.75, 0.99, 1.0]
+    for by, parts in (([], {None: values}), (["g"], {g: values[[(i % 3 == 0) == (g == "g") for i in range(len(values))]] for g in ("g", None)})):
+        found = ordered.quantiles(df, "v", probs, by=by)
+        plan = found._jdf.queryExecution().toString()
+        assert "rangepartitioning" not in plan and "checkpoint" not in plan.lower()
+        for r in found.collect():
+            part = np.sort(parts[r.g if by else None])
+            assert r.n == len(part)
+            for i, p in enumerate(probs):
+                at = (len(part) - 1) * p
+                low, high = part[int(at)], part[min(int(at) + 1, len(part) - 1)]
+                want = low + (high - low) * (at - int(at)) if low != high else low
+                assert r[f"q{i}"] == want or np.isnan(r[f"q{i}"]) and not np.isfinite(low * high), (p, r[f"q{i}"], want)
