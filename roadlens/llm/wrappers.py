@@ -45,6 +45,9 @@ CHROME_WORDS = frozenset(
     " disqus menu modal nav navbar navigation newsletter notice notices popup promo promoted related share sharing"
     " sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+PAGE = frozenset(["html", "body"])
+#: Words of class names that speak of other parts of the page ("no-sidebar", "has-comments").
+SAYS_OF_OTHERS = frozenset(["no", "not", "has", "with", "without", "ok"])
 OUTER_CHROME = frozenset(["header", "footer"])
 MAIN = frozenset(["article", "main"])
 
@@ -273,11 +276,23 @@ def _paths(wrapper: list[dict]) -> list[tuple[str, ...]]:
     return found
 
 
+def _class_words(name: str, marks: list[str]) -> set[str]:
+    """The words of an element's classes that may tell what it is. The page itself has classes for what is
+    elsewhere on it, an article for its kind; a name that says what is there or not there is no name of the part."""
+    if name in PAGE:
+        return set()
+    lowered = [m.lower() for m in marks]
+    if name in MAIN:
+        return set(lowered)
+    parts = [set(re.split(r"[^a-z]+", m)) for m in lowered]
+    return {w for p in parts if not p & SAYS_OF_OTHERS for w in p}
+
+
 def _is_chrome(path: tuple[str, ...]) -> bool:
     inside = False
     for element in path:
         name, *marks = element.split(".")
-        words = {w for m in marks for w in re.split(r"[^a-z]+", m.lower())}
+        words = _class_words(name, marks)
         if name in CHROME or words & CHROME_WORDS:
             return True
         if not inside and (name in OUTER_CHROME or words & OUTER_CHROME):

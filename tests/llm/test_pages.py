@@ -70,6 +70,23 @@ def test_pages_without_article(spark):
     assert {r.page_id: r.text for r in got} == want
 
 
+def test_classes_of_page_and_article_hide_nothing(spark):
+    """Names on html, body and the article say what else is on the page; a comment stays a comment."""
+    marks = ["no-sidebar post", "has-comments", "cookie-ok single", "nav-open", "with-banner"]
+    rows = []
+    for i, mark in enumerate(marks):
+        for k in range(3):
+            body = (
+                f'<body class="{mark}"><nav>menu</nav><div class="content-with-banner"><article class="widget-post">'
+                f"<h1>Title {k}</h1><p>Text {i} {k}</p></article></div>"
+                f'<article class="comment"><p>reader {k}</p></article><div class="site-sidebar"><p>other</p></div></body>'
+            )
+            rows.append((10 * i + k, f"http://host{i}.example.org/p{k}", f'<html class="no-banner">{body}</html>'))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(df).collect()}
+    assert got == {10 * i + k: f"Title {k}\nText {i} {k}" for i in range(len(marks)) for k in range(3)}
+
+
 def test_wrapper_of_a_host(pages):
     found = wrappers.shapes(pages.select(urls.host_of(pages.url).alias("host"), "html"))
     expression = {r.host: r.expression for r in wrappers.infer(found).collect()}["a.example.org"]
