@@ -123,7 +123,8 @@ def stored(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = scratch_path(spark, name)
-        build().write.parquet(path)
+        # Small row groups: a table of one file is still read by all cores.
+        build().write.option("parquet.block.size", 4 << 20).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 

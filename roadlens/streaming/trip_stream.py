@@ -6,11 +6,13 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadlens.functions.derive import stream_transform
 from roadlens.plans import run_metrics
 from roadlens.sources.messages import decode_trips
+from roadlens.streaming import manifest
 
 EPOCH = "epoch_id"
 PREVIEW = ("vehicle_id", "timestamp", "speed", "event_type")
@@ -54,6 +56,19 @@ def epoch_writer(
     return write
 
 
+def dated_writer(
+    path: str, compact_every: int = 100, ts: str = "timestamp"
+) -> Callable[[DataFrame, int], None]:
+    """Writes micro-batches into a table split by day with a manifest (``streaming.manifest``), which is
+    compacted every ``compact_every`` batches. A replayed batch is not written twice."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        if manifest.write_batch(batch, epoch, path, F.to_date(ts)) and (epoch + 1) % compact_every == 0:
+            manifest.compact(batch.sparkSession, path, batch.schema)
+
+    return write
+
+
 def start(
     rows: DataFrame,
     writer: Callable[[DataFrame, int], None],
