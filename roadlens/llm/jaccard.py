@@ -37,6 +37,8 @@ THRESHOLD = 90
 WORDS = 3
 SKETCH = 1 << 18
 SKETCH_ROWS = 64
+#: Shared shingles before a posting that it carries: a pair with one of them in common was formed in an earlier list.
+PRIOR = 4
 FILTER_BITS = 23
 
 
@@ -294,7 +296,8 @@ def classes(
         .withColumn("sig0", F.bit_or(F.when(F.col("token").bitwiseAND(64) == 0, bit).otherwise(0)).over(prefix))
         .withColumn("sig1", F.bit_or(F.when(F.col("token").bitwiseAND(64) != 0, bit).otherwise(0)).over(prefix))
         .withColumn("short", F.col("pos") <= F.col("n") - F.floor((2 * threshold * F.col("n") + 99 + threshold) / (100 + threshold)))
-        .select("token", "grp", "n", "last", "pos", "at", "most", "short", "sig0", "sig1", "size"),
+        .withColumn("prior", F.collect_list("token").over(prefix.orderBy("pos").rowsBetween(-PRIOR, -1)))
+        .select("token", "grp", "n", "last", "pos", "at", "most", "short", "sig0", "sig1", "prior", "size"),
         "jaccard-postings",
     )
     members = nodes.select("grp", "node")
@@ -341,6 +344,8 @@ def classes(
         & (~F.col("b.outside") | (F.col("a.grp") < F.col("b.grp")))
         & ((F.col("a.comp") != F.col("b.comp")) | F.col("a.mixed") | F.col("b.mixed"))
         & _may_link("a", "b", threshold)
+        # what can link passes in the first list that has both: there nothing before is common
+        & ~F.arrays_overlap("a.prior", "b.prior")
     )
     # which of the two is the outsider may change from list to list
     left = meet.select(F.least("a.grp", "b.grp").alias("ga"), F.greatest("a.grp", "b.grp").alias("gb")).distinct()
