@@ -46,6 +46,6 @@ def test_odd_rows_and_empty_tables(spark):
 
 
 def test_registry():
-    assert [name.split("_")[0] for name in registry.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in registry.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(registry.SQL) <= set(registry.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "decontaminate", "mix_sources", "shards"]
