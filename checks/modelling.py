@@ -33,7 +33,7 @@ def feedback_uplift(c: Context):
 
 
 def device_uplift(c: Context):
-    return c.once("device uplift", lambda: effects.device_uplift(c.clean, KEY, SMALL))
+    return c.once("device uplift", lambda: effects.device_uplift(c.clean, KEY, SMALL, SMALL, SMALL))
 
 
 @check("m22_m2_risk_auc")
@@ -160,6 +160,23 @@ def _(c: Context):
     return breakdown_flow(c)["boosting_curve"]
 
 
+@check("v8_decile_line")
+def _(c: Context):
+    return charts.decile_line(feedback_uplift(c)["deciles"])
+
+
+@check(
+    "m23_a13_fuel_null_counts",
+    """select 'fuel_efficiency_l_per_km' as column_name, count(*) as n_null from clean
+where fuel_consumption_liters is not null and fuel_efficiency_l_per_km is null
+union all select 'idle_time_minutes', count(*) from clean
+where fuel_consumption_liters is not null and idle_time_minutes is null
+union all select 'hour_of_day', count(*) from clean where fuel_consumption_liters is not null and hour_of_day is null""",
+)
+def _(c: Context):
+    return fuel.null_counts(c.clean, KEY, ["fuel_efficiency_l_per_km", "idle_time_minutes", "hour_of_day"])
+
+
 @check("m23_m5_fuel_metrics")
 def _(c: Context):
     return fuel.fuel_model(c.clean, KEY, SMALL)["metrics"]

@@ -535,6 +535,19 @@ def _(c: Context):
     return charts.category_counts(c.clean, "weather")
 
 
+@check(
+    "v8_group_bars",
+    " union all ".join(
+        f"select optimized_route_flag, '{v}' as metric, {r6(f'avg({v})')} as mean,"
+        f" {r6(f'1.959963984540054 * stddev_samp({v}) / sqrt(count({v}))')} as whisker, count({v}) as n"
+        " from clean where optimized_route_flag is not null group by 1"
+        for v in ("fuel_consumption_liters", "fuel_efficiency_l_per_km")
+    ),
+)
+def _(c: Context):
+    return charts.group_bars(c.clean, "optimized_route_flag", ["fuel_consumption_liters", "fuel_efficiency_l_per_km"])
+
+
 @check(
     "v5_roc_points",
     f"""select model, {r6('p')} as threshold, {r6('fp / n_neg')} as fpr, {r6('tp / n_pos')} as tpr

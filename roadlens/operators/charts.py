@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.operators.ordered import quantiles
@@ -92,6 +92,33 @@ def category_counts(df: DataFrame, c: str) -> DataFrame:
     return df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
 
 
+def group_bars(df: DataFrame, group: str, values: Sequence[str]) -> DataFrame:
+    """The bars of a figure: per group and value column its mean, and the half width of the mean's 95 %
+    interval as the whisker. NULL groups have no bar; a group of one row has no whisker."""
+    numbers = {v: F.when(~F.isnan(F.col(v).cast("double")), F.col(v).cast("double")) for v in values}
+    known = df.filter(F.col(group).isNotNull())
+    wide = known.groupBy(group).agg(
+        *[
+            F.struct(F.lit(v).alias("metric"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.count(x).alias("n")).alias(f"_{i}")
+            for i, (v, x) in enumerate(numbers.items())
+        ]
+    )
+    bars = wide.select(group, F.inline(F.array(*[F.col(f"_{i}") for i in range(len(values))])))
+    whisker = F.try_divide(F.lit(1.959963984540054) * F.col("sd"), F.sqrt(F.col("n").cast("double")))
+    return bars.select(group, "metric", "mean", whisker.alias("whisker"), "n")
+
+
+def decile_line(deciles: DataFrame, effect: str = "obs_effect") -> DataFrame:
+    """The line of observed effect over deciles, highest uplift first, with the marks' weights and the
+    level of the whole as a reference."""
+    size = F.sum("n_bin").over(Window.partitionBy(F.lit(0)))
+    level = F.sum(F.col(effect) * F.col("n_bin")).over(Window.partitionBy(F.lit(0)))
+    return deciles.select(
+        (F.max("bin_no").over(Window.partitionBy(F.lit(0))) - F.col("bin_no") + 1).alias("position"), "uplift_decile",
+        F.col(effect).alias("y"), F.try_divide(F.col("n_bin"), size).alias("weight"), F.try_divide(level, size).alias("level"),
+    ).orderBy("position")
+
+
 def predicted_against_actual(
     df: DataFrame, actual: str, predicted: str, keep: Sequence[str] = ()
 ) -> DataFrame:

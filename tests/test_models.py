@@ -135,6 +135,7 @@ def test_fuel_model(clean):
     quality = {r.model: r.r2 for r in made["metrics"].collect()}
     assert quality["random forest"] > 0.9 and quality["linear regression"] > 0.9
     assert made["importances"].first().feature == "distance_traveled_km"
+    assert {r.n_null for r in made["null_counts"].collect()} == {0} and made["null_counts"].count() == 13
     kept = fuel.fuel_model(clean, "trip_key", SMALL, drop_leaky=True)["importances"]
     assert kept.filter("feature like 'fuel%'").count() == 0
 
@@ -177,7 +178,7 @@ def test_device_effect_and_uplift(clean):
     effect = effects.device_effects(clean, "trip_key", 100)["effects"]
     rate = effect.filter("outcome = 'fuel_rate_l_per_100km'").first()
     assert rate.ci95_low < -1.5 + 0.3 and rate.ci95_high < -1.0
-    made = effects.device_uplift(clean, "trip_key", SMALL)
+    made = effects.device_uplift(clean, "trip_key", SMALL, SMALL, SMALL)
     mean = made["scored"].agg(F.avg("fuel_uplift")).first()[0]
     assert mean == pytest.approx(1.5, abs=0.3)
     assert {r.arm: r.r2 > 0.5 for r in made["fuel_details"].collect()} == {"old": True, "new": True}
