@@ -327,7 +327,7 @@ def _(c: Context):
     shaped = models.numeric(known, ["braking_event"]).select("weather", "braking_event")
     encoded = models.encoder(["weather"], []).fit(shaped).transform(shaped)
     fitted = models.logistic(encoded, "braking_event", c=1e9, max_iter=500)
-    scored = fitted.transform(encoded).withColumn("p", models.positive())
+    scored = encoded.withColumn("p", fitted.probability())
     # The solver ends some digits before the sixth place.
     return scored.groupBy("weather").agg(F.round(F.max("p"), 3).alias("p"))
 
