@@ -4,11 +4,12 @@
    ``SKETCH`` counters over the whole table, so its size is fixed), then by hash. The order is the same
    everywhere, which is all that prefix filtering needs; rare shingles come first.
 2. Documents with the same shingle set are one *node*; nodes with the same prefix and size are one
-   *group*. Postings are made per group; a shingle that only one group has in its prefix can be in no
-   intersection with a prefix that ends no earlier, so of the prefix that ends first only the others
-   count. Pairs of groups are filtered by size, by the places of each shared shingle, and by a signature
-   that counts what the prefix that ends first has and the other lacks. Only the group pairs that remain
-   are expanded, and their members verified on their whole sets.
+   *group*. Postings are made per group; a shingle that no other group of similar size has in its prefix
+   can be in no intersection with a prefix that ends no earlier, so of the prefix that ends first only the
+   others count. A pair of groups is formed only at shingles that can be the first they share: the one
+   before it differs, the rest of both sets is long enough, and a signature tells enough of what the prefix
+   that ends first has and the other lacks. Bitmaps of the whole sets of their members bound what a pair
+   can share; what remains is verified on the whole sets.
 3. Groups of copies would give all pairs of their members. So each group is first compared with one
    other: of the hubs of its posting lists, the one it shares most with. What verifies is contracted
    to components. Then all remaining pairs are taken whose nodes are in different components. A list
@@ -20,7 +21,7 @@ A pair is linked when ``100 * intersection >= threshold * union``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,9 @@ WORDS = 3
 SKETCH = 1 << 18
 SKETCH_ROWS = 64
 FILTER_BITS = 23
+#: What a posting of a group says: its place in the prefix, the shared shingles before it (the last of them, their number),
+#: the most that can be common, and a signature of the shared shingles of the prefix from it on.
+POSTING = ("grp", "n", "last", "pos", "at", "before", "most", "sig0", "sig1")
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -151,37 +155,28 @@ def postings(groups: DataFrame) -> DataFrame:
     return map_batches(groups.select("grp", "n", "last", "prefix"), schema, spread)
 
 
-def _missing(own: str, other: str) -> F.Column:
-    """At least so many shingles of one prefix are not in the other: the bits only its signature has."""
-    count = F.lit(0)
-    for word in ("sig0", "sig1"):
-        count = count + F.bit_count(F.col(f"{own}.{word}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{word}"))))
-    return count
+def _may_be_first(a: str, b: str, threshold: int) -> F.Column:
+    """Whether the shingle of two postings can be the first that their sets share, and the sets similar
+    enough. The first common shingle of similar sets always passes, so no pair is lost.
 
-
-def _may_link(a: str, b: str, threshold: int) -> F.Column:
-    """Whether the sets of two postings of one shingle can still be similar enough.
-
-    ``at`` counts the shared shingles before it in the prefix, ``most`` what of the set can be shared with
-    prefixes that end no earlier. Before the shingle at most the lesser ``at`` are common, behind it the
-    lesser rest. Of the prefix that ends first, a shingle that the other lacks is not in the other set
-    either. Of the prefix that ends last, the other set may have a shingle behind its own prefix, where
-    no posting tells: all that follows the shingle's place ``pos`` counts. The smaller set has a common
-    shingle already in the ``short`` part of its prefix.
+    What stands before the shingle is then in one set alone, so the shingles before it (``before``) differ and
+    what is common is at most the rest behind its place ``pos``. Of the prefix that ends first, ``at`` shared shingles
+    lie before it; of those from here on, one that the other lacks is not in the other set either: the bits
+    only its signature has. ``most`` counts what of the set can be shared with prefixes that end no earlier.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    before = F.least(F.col(f"{a}.at"), F.col(f"{b}.at"))
     need = F.floor((threshold * (n + m) + 99 + threshold) / (100 + threshold))
 
-    def bounds(first: str, other: str) -> F.Column:
-        most = F.col(f"{first}.most")
-        behind = F.least(most - F.col(f"{first}.at"), F.col(f"{other}.n") - F.col(f"{other}.pos"))
-        return (before + behind >= need) & (most - _missing(first, other) >= need)
+    def bound(first: str, other: str) -> F.Column:
+        lost = F.col(f"{first}.at")
+        for word in ("sig0", "sig1"):
+            lost = lost + F.bit_count(F.col(f"{first}.{word}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{word}"))))
+        return F.col(f"{first}.most") - lost >= need
 
-    enough = F.when(F.col(f"{a}.last") <= F.col(f"{b}.last"), bounds(a, b)).otherwise(bounds(b, a))
-    smaller = (n < m) | ((n == m) & (F.col(f"{a}.grp") < F.col(f"{b}.grp")))
-    early = F.when(smaller, F.col(f"{a}.short")).otherwise(F.col(f"{b}.short"))
-    return early & (100 * n >= threshold * m) & (100 * m >= threshold * n) & enough
+    enough = F.when(F.col(f"{a}.last") <= F.col(f"{b}.last"), bound(a, b)).otherwise(bound(b, a))
+    places = (n - F.col(f"{a}.pos") >= need) & (m - F.col(f"{b}.pos") >= need)
+    fresh = F.coalesce(F.col(f"{a}.before") != F.col(f"{b}.before"), F.lit(True))
+    return fresh & (100 * n >= threshold * m) & (100 * m >= threshold * n) & places & enough
 
 
 def key_bits(keys: DataFrame, column: str):
@@ -201,8 +196,28 @@ def in_bits(bits: np.ndarray, keys: pa.Array) -> np.ndarray:
     return (bits[key >> 3] >> (key & 7)) & 1 == 1
 
 
-def wanted_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """The shingle sets of ``nodes`` (node, key of a row that has it), read again from the documents.
+def bitmap(own: np.ndarray) -> bytes:
+    """A bit for every shingle of a set, four to eight times as many bits as shingles."""
+    marks = np.zeros(1 << max(6, (4 * len(own) - 1).bit_length()), dtype=bool)
+    marks[(kernels.mix(own) & np.uint64(len(marks) - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def may_share(one: np.ndarray, two: np.ndarray, n: int, m: int) -> int:
+    """The most that sets of ``n`` and ``m`` shingles with these bitmaps can have in common: a bit that only one
+    has is a shingle of its own. The wider bitmap is folded to the width of the other."""
+    a, b = one.view(np.uint64), two.view(np.uint64)
+    while len(a) != len(b):
+        if len(a) > len(b):
+            a = a[: len(a) // 2] | a[len(a) // 2 :]
+        else:
+            b = b[: len(b) // 2] | b[len(b) // 2 :]
+    return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+
+
+def wanted(docs: DataFrame, nodes: DataFrame, n: int, pack: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """What ``pack`` makes of the shingle sets of ``nodes`` (node, key of a row that has it), read again from the
+    documents: node, size of the set, packed.
 
     A bit map over the rows' keys spares the others the work; the join is what decides.
     """
@@ -210,42 +225,59 @@ def wanted_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
     def sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = batch.filter(pa.array(in_bits(shared.value, batch.column("row_key"))))
-        names, values = [], []
+        names, sizes, values = [], [], []
         for _, own in shingle_sets(found.column("text"), n):
             names.append(xxhash.xxh3_128_digest(own.tobytes()))
-            values.append(own.tobytes())
+            sizes.append(len(own))
+            values.append(pack(own))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array(values, pa.binary())], names=["node", "shingles"]
+            [pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(values, pa.binary())],
+            names=["node", "n", "packed"],
         )
 
-    read = map_batches(docs.select("row_key", "text"), "node binary, shingles binary", sets)
-    return read.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    read = map_batches(docs.select("row_key", "text"), "node binary, n int, packed binary", sets)
+    return read.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("packed").alias("packed")
+    )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The node pairs (u, v) whose whole sets are similar enough."""
+def tested(pairs: DataFrame, sets: DataFrame, threshold: int, common: Callable[..., int]) -> DataFrame:
+    """The node pairs (u, v) that are similar enough if they share ``common(packed, packed, size, size)``."""
     both = (
-        pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("one")), "u")
-        .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("two")), "v")
-        .select("u", "v", "one", "two")
+        pairs.join(sets.select(F.col("node").alias("u"), F.col("n").alias("n"), F.col("packed").alias("one")), "u")
+        .join(sets.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("packed").alias("two")), "v")
+        .select("u", "v", "n", "m", "one", "two")
     )
 
     def test(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keep = np.zeros(batch.num_rows, dtype=bool)
-        for i, (one, two) in enumerate(zip(batch.column("one"), batch.column("two"), strict=True)):
-            a, b = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (one, two))
-            at = np.searchsorted(b, a)
-            at[at == len(b)] = 0
-            common = int((b[at] == a).sum())
-            keep[i] = 100 * common >= threshold * (len(a) + len(b) - common)
+        sizes = zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), strict=True)
+        for i, (one, two, (n, m)) in enumerate(zip(batch.column("one"), batch.column("two"), sizes, strict=True)):
+            c = common(np.frombuffer(one.as_buffer(), dtype=np.uint64), np.frombuffer(two.as_buffer(), dtype=np.uint64), n, m)
+            keep[i] = 100 * c >= threshold * (n + m - c)
         yield batch.select(["u", "v"]).filter(pa.array(keep))
 
     return map_batches(both, "u binary, v binary", test)
 
 
+def shared_shingles(a: np.ndarray, b: np.ndarray, n: int, m: int) -> int:
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
+def _of(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes (node, row_key) of ``pairs``."""
+    named = nodes.select("node", "row_key")
+    ends = [named.join(pairs.select(F.col(c).alias("node")), "node", "left_semi") for c in ("u", "v")]
+    return ends[0].unionByName(ends[1]).distinct()
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame:
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "row_key"), "node")
-    return stored(verified(pairs, wanted_sets(docs, asked, n), threshold), "jaccard-links")
+    """The linked of ``pairs``: bitmaps, a sixteenth to an eighth of the sets, rule out most; whole sets decide."""
+    close = stored(tested(pairs, wanted(docs, _of(pairs, nodes), n, bitmap), threshold, may_share), "jaccard-close")
+    whole = wanted(docs, _of(close, nodes), n, lambda own: own.tobytes())
+    return stored(tested(close, whole, threshold, shared_shingles), "jaccard-links")
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -282,19 +314,26 @@ def classes(
     )
     # the short digest is not trusted: groups that differ in size or last shingle are posted apart
     groups = nodes.groupBy("grp", "n", "last").agg(F.min("row_key").alias("row_key"))
-    posted = postings(rows.join(groups, ["grp", "n", "last", "row_key"], "left_semi")).repartition("token")
-    lists = posted.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
+    posted = postings(rows.join(groups, ["grp", "n", "last", "row_key"], "left_semi"))
+    # of a list, only groups of similar size can be paired: in order of size, those with such a neighbour
+    of_token = Window.partitionBy("token")
+    less, more = F.lag("n").over(of_token.orderBy("n")), F.lead("n").over(of_token.orderBy("n"))
+    paired = F.coalesce(100 * less >= threshold * F.col("n"), F.lit(False)) | F.coalesce(
+        100 * F.col("n") >= threshold * more, F.lit(False)
+    )
     prefix = Window.partitionBy("grp", "n", "last")
+    from_end = prefix.orderBy(F.col("pos").desc())
     behind = F.floor((F.col("n") * threshold + 99) / 100) - 1
     bit = F.expr("shiftleft(1L, cast(token & 63 as int))")
     shared = stored(
-        posted.join(lists, "token")
-        .withColumn("at", F.row_number().over(prefix.orderBy("pos")) - 1)
+        posted.withColumn("paired", paired).filter("paired")
+        .withColumn("size", F.count("*").over(of_token))
+        .withColumn("at", (F.count("*").over(prefix) - F.row_number().over(from_end)).cast("int"))
+        .withColumn("before", F.lead("token").over(from_end))
         .withColumn("most", (F.count("*").over(prefix) + behind).cast("int"))
-        .withColumn("sig0", F.bit_or(F.when(F.col("token").bitwiseAND(64) == 0, bit).otherwise(0)).over(prefix))
-        .withColumn("sig1", F.bit_or(F.when(F.col("token").bitwiseAND(64) != 0, bit).otherwise(0)).over(prefix))
-        .withColumn("short", F.col("pos") <= F.col("n") - F.floor((2 * threshold * F.col("n") + 99 + threshold) / (100 + threshold)))
-        .select("token", "grp", "n", "last", "pos", "at", "most", "short", "sig0", "sig1", "size"),
+        .withColumn("sig0", F.bit_or(F.when(F.col("token").bitwiseAND(64) == 0, bit).otherwise(0)).over(from_end))
+        .withColumn("sig1", F.bit_or(F.when(F.col("token").bitwiseAND(64) != 0, bit).otherwise(0)).over(from_end))
+        .select("token", *POSTING, "size"),
         "jaccard-postings",
     )
     members = nodes.select("grp", "node")
@@ -303,10 +342,10 @@ def classes(
     # with the most neighbours over all its lists is the hub: the original among its copies.
     central = shared.groupBy("grp").agg(F.sum("size").alias("near"))
     ranked = shared.join(central, "grp")
-    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", "grp", "n", "last", "pos", "at", "most", "short", "sig0", "sig1")).alias("hub"))
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("near", *POSTING)).alias("hub"))
     best = (
         shared.alias("own").join(hubs, "token")
-        .filter((F.col("hub.grp") != F.col("own.grp")) & _may_link("hub", "own", threshold))
+        .filter((F.col("hub.grp") != F.col("own.grp")) & _may_be_first("hub", "own", threshold))
         .groupBy(F.col("own.grp").alias("gb"), F.col("hub.grp").alias("ga"))
         .agg(F.count("*").alias("c"))
         .groupBy("gb")
@@ -340,7 +379,7 @@ def classes(
         (F.col("a.grp") != F.col("b.grp"))
         & (~F.col("b.outside") | (F.col("a.grp") < F.col("b.grp")))
         & ((F.col("a.comp") != F.col("b.comp")) | F.col("a.mixed") | F.col("b.mixed"))
-        & _may_link("a", "b", threshold)
+        & _may_be_first("a", "b", threshold)
     )
     # which of the two is the outsider may change from list to list
     left = meet.select(F.least("a.grp", "b.grp").alias("ga"), F.greatest("a.grp", "b.grp").alias("gb")).distinct()

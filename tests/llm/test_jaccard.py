@@ -1,5 +1,8 @@
 """Components and shingle counts against all pairs."""
 
+import random
+
+import numpy as np
 import pytest
 
 from roadlens.llm import jaccard
@@ -82,3 +85,55 @@ def test_one_of_each(spark):
 def test_empty_table(spark):
     assert jaccard.classes(empty(spark)).count() == 0
     assert jaccard.one_of_each(empty(spark)).count() == 0
+
+
+def families(seed, n_families=3, members=25, size=150):
+    """Copies with a few words changed: pairs on both sides of the threshold that share most of their shingles."""
+    rng, rows = random.Random(seed), []
+    for f in range(n_families):
+        base = [f"f{f}x{i}" for i in range(size)]
+        for _ in range(members):
+            words = list(base)
+            for _ in range(rng.randrange(1, 9)):
+                words[rng.randrange(size)] = f"y{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words), "en", "a"))
+    return rows
+
+
+@pytest.mark.parametrize(("threshold", "n"), [(90, 3), (80, 5)])
+def test_families_about_the_threshold(spark, threshold, n):
+    rows = families(3)
+    got = jaccard.classes(frame(spark, rows), threshold, n).select("doc_id", "n_shingles", "component_id")
+    want = brute(rows, threshold, n)
+    assert 3 < len({c for *_, c in want}) < len(rows)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
+def test_few_pairs_reach_the_whole_sets(spark, monkeypatch):
+    """Postings without a partner of their size go; bitmaps rule out what is not alike."""
+    made, store = {}, jaccard.stored
+
+    def counted(df, name, *args):
+        made.setdefault(name, []).append((done := store(df, name, *args)).count())
+        return done
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    rows = [(i, " ".join(["one rare start", *(f"z{i}x{k}" for k in range(20 * 2**i))]), "en", "a") for i in range(5)]
+    jaccard.classes(frame(spark, rows)).count()
+    assert made["jaccard-postings"] == [0]
+    made.clear()
+    jaccard.classes(frame(spark, families(4, 1, 40))).count()
+    assert sum(made["jaccard-close"]) < 0.5 * (sum(made["jaccard-pairs"]) + sum(made["jaccard-rest"]))
+
+
+def test_bitmaps_bound_what_is_common():
+    rng = np.random.default_rng(2)
+    for n, m, common in [(1, 1, 0), (1, 1, 1), (20, 33, 20), (500, 540, 470), (500, 900, 3), (5, 1000, 5)]:
+        values = np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64))
+        rng.shuffle(values)
+        a, b = np.sort(values[:n]), np.sort(values[n - common : n - common + m])
+        one, two = (np.frombuffer(jaccard.bitmap(x), dtype=np.uint64) for x in (a, b))
+        assert jaccard.shared_shingles(a, b, n, m) == common
+        assert common <= jaccard.may_share(one, two, n, m) <= min(n, m)
+        if n == 500:
+            assert jaccard.may_share(one, two, n, m) < common + 0.5 * (n - common)
