@@ -4,8 +4,8 @@ Patterns of known formats give the base spans; they always stay. Looser generato
 overlap: runs and groups of digits, international and national numbers, spelled-out addresses. A candidate
 is one row with its place, what it is made of and what stands around it. Candidates that are base spans are
 examples of personal data; those that fail the check of their kind (parts above 255, check digit, number of
-digits) or cut into a base span are examples of what is not. Boosted trees learn both from a bounded sample
-of them, thresholds per kind are set on rows kept back from it, and the candidates nobody labelled are
+digits) or cut into a base span are examples of what is not. Boosted trees learn from all of
+them but those kept back, on which thresholds per kind are set, and the candidates nobody labelled are
 chosen by them: of candidates that overlap in a document the most probable stays.
 
 All of it is DataFrame functions. A place is found from the text between matches: the pieces that ``split``
@@ -28,9 +28,9 @@ from roadlens.llm.frames import stored, table
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 24
-#: Labelled candidates the trees are fitted on, at most in expectation; the share kept back for thresholds.
-SAMPLE, KEPT_BACK = 20_000, 0.3
-ROUNDS, DEPTH, STEP = 20, 4, 0.3
+#: The share of labelled candidates kept back for thresholds; about so many distinct ones in a part.
+KEPT_BACK, PART = 0.3, 50_000
+ROUNDS, DEPTH, STEP, SPLITS = 20, 4, 0.3, 256
 #: A threshold is the lowest that is this often right on the rows kept back.
 PRECISION = 0.9
 BINS = 50
@@ -188,32 +188,42 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
-def fit(found: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> tuple[GBTClassificationModel, dict[str, float]] | None:
-    """Boosted trees on about ``sample`` labelled candidates, and the threshold of every kind; None where
-    the labelled candidates are all of one class."""
-    labelled = found.filter("label is not null")
-    n = labelled.count()
-    draw = F.xxhash64("key", "kind", "start", "end")
-    share = F.pmod(draw, F.lit(1 << 30)) < int(min(1.0, sample / max(n, 1)) * (1 << 30))
-    # The sample is bounded; in one ordered partition every run sums it in the same order.
-    drawn = stored(
-        assembled(labelled.filter(share)).select("kind", "label", "vector", draw.alias("draw"))
-        .repartition(1).sortWithinPartitions("draw", "kind", "label"),
-        "personal_sample",
+def fit(found: DataFrame, rounds: int = ROUNDS) -> tuple[GBTClassificationModel, dict[str, float]] | None:
+    """Boosted trees on all labelled candidates but those kept back, and from these the threshold of every
+    kind; None where the labelled candidates are all of one class.
+
+    Candidates that are alike in kind, label and features are one row that weighs as much as they do."""
+    draw = F.pmod(F.shiftright(F.xxhash64("key", "kind", "start", "end"), 32), F.lit(1000))
+    alike = (
+        found.filter("label is not null")
+        .withColumn("held", draw < int(1000 * KEPT_BACK))
+        .groupBy("held", "kind", "label", *FEATURES)
+        .agg(F.count("*").cast("double").alias("weight"))
+    )
+    distinct = stored(alike, "personal_alike")
+    # Rows of a part are in one order, and while they fit in one part every run sums them alike.
+    order = F.xxhash64("held", "kind", "label", *FEATURES)
+    parts = 1 + distinct.count() // PART
+    rows = stored(
+        assembled(distinct).select("held", "kind", "label", "vector", "weight", order.alias("order"))
+        .repartition(parts, "order").sortWithinPartitions("order", "kind", "label"),
+        "personal_labelled",
     )
-    kept_back = F.pmod(F.shiftright("draw", 32), F.lit(1000)) < int(1000 * KEPT_BACK)
-    train = drawn.filter(~kept_back)
+    train = rows.filter("not held")
     if train.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(featuresCol="vector", maxIter=rounds, maxDepth=DEPTH, stepSize=STEP, seed=11).fit(train)
-    return model, thresholds(scored(model, drawn.filter(kept_back)))
+    trees = GBTClassifier(
+        featuresCol="vector", weightCol="weight", maxIter=rounds, maxDepth=DEPTH, stepSize=STEP, maxBins=SPLITS, seed=11
+    )
+    model = trees.fit(train)
+    return model, thresholds(scored(model, rows.filter("held")))
 
 
 def thresholds(held: DataFrame) -> dict[str, float]:
     """Per kind the lowest probability from which on candidates are right ``PRECISION`` of the time, with one
     wrong one more than was seen. Kinds without such a probability are missing. One row a kind."""
     bins = held.groupBy("kind", F.floor(F.col("p") * BINS).alias("bin")).agg(
-        F.sum("label").alias("right"), F.count(F.lit(1)).alias("n"), F.min("p").alias("least")
+        F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("n"), F.min("p").alias("least")
     )
     above = Window.partitionBy("kind").orderBy(F.col("bin").desc())
     right, n = F.sum("right").over(above), F.sum("n").over(above)
@@ -256,7 +266,7 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["k"], s["a"].cast("string"), s["b"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, n_added, base_spans and spans.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by kind as in ``KINDS``, then start. Null
@@ -265,7 +275,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
     """
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     found = stored(candidates(named), "personal_candidates")
-    spans = chosen(found, fit(found, sample, rounds))
+    spans = chosen(found, fit(found, rounds))
     span = F.struct("kind", "start", "end")
     per_document = spans.groupBy("key").agg(
         F.collect_list(F.when(F.col("base"), span)).alias("base"), F.collect_list(span).alias("every")

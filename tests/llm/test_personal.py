@@ -3,6 +3,7 @@
 import random
 import re
 
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from roadlens.llm import personal
@@ -123,3 +124,33 @@ def test_redacted_text(spark):
     assert {r.doc_id: r.text for r in out.select("doc_id", F.col("text")).collect()} == {
         1: "é [email] or [ip].", 2: "nothing", 3: None, 4: "[phone]",
     }
+
+
+def test_every_labelled_candidate_counts(spark, monkeypatch):
+    """More of them than were once drawn: those the trees see and those kept back are all there are."""
+    seen = {}
+
+    class Watched:
+        def __init__(self, **options):
+            self.own = GBTClassifier(**options)
+
+        def fit(self, rows):
+            seen["train"] = rows.agg(F.sum("weight")).first()[0]
+            return self.own.fit(rows)
+
+    def watched(held):
+        seen["held"] = held.agg(F.sum("weight")).first()[0]
+        return {}
+
+    monkeypatch.setattr(personal, "GBTClassifier", Watched)
+    monkeypatch.setattr(personal, "thresholds", watched)
+    label = (F.col("id") % 2).cast("double")
+    found = spark.range(30_000).select(
+        F.unhex(F.md5(F.col("id").cast("string"))).alias("key"), F.lit("card").alias("kind"), F.col("id").alias("start"),
+        (F.col("id") + 16).alias("end"), F.when(F.col("id") >= 100, label).alias("label"),
+        *[(F.col("id") % (2 + i)).cast("double").alias(f) for i, f in enumerate(personal.FEATURES[:2])],
+        *[F.lit(0.0).alias(f) for f in personal.FEATURES[2:]],
+    )
+    assert personal.fit(found, rounds=1) is not None
+    assert seen["train"] + seen["held"] == 29_900
+    assert 0.25 < seen["held"] / 29_900 < 0.35
