@@ -1,6 +1,7 @@
 """Base counts against plain code, the Kneser-Ney model against its definition, bands and filter."""
 
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -104,3 +105,94 @@ def test_bands_reject_foreign_text_and_keep_the_rest(spark):
 def test_empty_table(spark):
     assert quality.rules(empty(spark)).count() == 0
     assert quality.keep(empty(spark)).count() == 0
+
+
+def fifth(texts):
+    """Probability of a byte after four others, straight from the definition."""
+    levels = [Counter()]
+    for t in texts:
+        data = b"    " + bytes(quality._FOLD[list(t)])
+        levels[0].update(data[i : i + 5] for i in range(len(data) - 4))
+    for _ in range(4):
+        levels.append(Counter(k[1:] for k in levels[-1]))
+
+    def model(counts, lower):
+        d = quality.discounts(np.array(list(counts.values())))
+        own = defaultdict(dict)
+        for k, c in counts.items():
+            own[k[:-1]][k[-1]] = c
+
+        def p(context, byte):
+            seen = own.get(context)
+            if not seen:
+                return lower(context[1:], byte)
+            total = sum(seen.values())
+            c = seen.get(byte, 0)
+            rest = sum(d[min(x, 3)] for x in seen.values()) / total
+            return (c - d[min(c, 3)] if c else 0) / total + rest * lower(context[1:], byte)
+
+        return p
+
+    found = lambda _, __: 1 / 256
+    for counts in reversed(levels):
+        found = model(counts, found)
+    return found
+
+
+def test_order_five_is_kneser_ney_of_the_other_folds(spark):
+    rows = [r for r in documents() if r[2] in ("en", "de") and len(r[1] or "") < 2000]
+    got = {}
+    for r in quality.rules(frame(spark, rows), order=5, folds=3).collect():
+        got.setdefault(r.doc_id, []).append(r.perplexity)
+    fold = {text: zlib.crc32(text.encode()) % 3 for _, text, _, _ in rows if text}
+    models = {
+        (lang, f): fifth([r[1].encode() for r in rows if r[2] == lang and not base(r[1])[5] and fold[r[1]] != f])
+        for lang in ("en", "de") for f in range(3)
+    }
+    checked = 0
+    for doc_id, text, lang, _ in rows[::4]:
+        if not text:
+            continue
+        folded = b"    " + bytes(quality._FOLD[list(text.encode())])
+        p = models[lang, fold[text]]
+        logs = [math.log(p(folded[i : i + 4], folded[i + 4])) for i in range(len(folded) - 4)]
+        assert any(x is not None and abs(math.log(x) + sum(logs) / len(logs)) < 1e-9 for x in got[doc_id])
+        checked += 1
+    assert checked > 15
+
+
+def test_a_language_in_several_parts_gives_the_same(spark, monkeypatch):
+    rows = [r for r in documents() if len(r[1] or "") < 2000]
+    docs = frame(spark, rows)
+    whole = sorted(map(repr, ((r.doc_id, r.base_failed, r.kept, r.perplexity and round(r.perplexity, 9)) for r in quality.rules(docs, order=5).collect())))
+    model = quality.fit(docs, order=5)
+    size = {r.key: r.entries for r in model.collect()}
+    assert len(size) == model.count()
+    monkeypatch.setattr(quality, "BLOCK_ENTRIES", 1500)
+    monkeypatch.setattr(quality, "MODEL_ENTRIES", max(size.values()) // 2)
+    parts = quality._parts(quality.fit(docs, order=5))
+    assert max(Counter(key for p in parts for key in p.span).values()) > 1
+    split = sorted(map(repr, ((r.doc_id, r.base_failed, r.kept, r.perplexity and round(r.perplexity, 9)) for r in quality.rules(docs, order=5).collect())))
+    assert split == whole
+
+
+def test_query_tells_what_trigrams_do_not(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), 8)) for _ in range(150)]
+    texts = [" ".join(rng.choice(words, 150)) for _ in range(120)]
+    after = defaultdict(list)
+    for t in texts:
+        for i in range(len(t) - 2):
+            after[t[i : i + 2]].append(t[i + 2])
+    walk = texts[0][:2]
+    while len(walk) < 4000 or len(walk.split()) < 200:
+        walk += rng.choice(after[walk[-2:]])  # every trigram is one of the texts, as often as there
+    foreign = " ".join("".join(chr(c) for c in rng.integers(0x2500, 0x9000, 8)) for _ in range(60))
+    rows = [(i, t, "en") for i, t in enumerate([*texts, walk, foreign])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    lost = [r.doc_id for r in quality.op10_quality(spark, str(tmp_path)).collect() if not r.kept]
+    assert sorted(lost) == [120, 121]
+    # A model of order five that has counted the texts it judges finds unique bytes cheap.
+    by_heart = {r.doc_id: r.kept for r in quality.rules(docs, order=5, high=quality.HELD_OUT_HIGH).collect()}
+    assert by_heart[121]
