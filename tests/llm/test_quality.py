@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark import Broadcast
 
 from roadlens.llm import quality
 from tests.llm.data import byte_words, documents, empty, frame
@@ -196,3 +197,49 @@ def test_query_tells_what_trigrams_do_not(spark, tmp_path):
     # A model of order five that has counted the texts it judges finds unique bytes cheap.
     by_heart = {r.doc_id: r.kept for r in quality.rules(docs, order=5, high=quality.HELD_OUT_HIGH).collect()}
     assert by_heart[121]
+
+
+def test_one_part_of_the_model_is_out_at_a_time(spark, monkeypatch):
+    docs = frame(spark, [r for r in documents() if r[2] in ("en", "de") and len(r[1] or "") < 2000])
+    model = quality.fit(docs, order=5, folds=2)
+    size = Counter()
+    for r in model.collect():
+        size[r.key] += r.entries
+    out, most, sent = set(), 0, 0
+    context = spark.sparkContext
+    send, destroy = type(context).broadcast, Broadcast.destroy
+
+    def counted_send(self, value):
+        nonlocal most, sent
+        shared = send(self, value)
+        if value:
+            out.add(id(shared))
+            sent += 1
+            most = max(most, len(out))
+        return shared
+
+    def counted_destroy(self, *args):
+        out.discard(id(self))
+        return destroy(self, *args)
+
+    monkeypatch.setattr(type(context), "broadcast", counted_send)
+    monkeypatch.setattr(Broadcast, "destroy", counted_destroy)
+    # Parts of one key each, then keys in several parts.
+    for entries, blocks in ((max(size.values()), quality.BLOCK_ENTRIES), (max(size.values()) // 2, 1500)):
+        monkeypatch.setattr(quality, "MODEL_ENTRIES", entries)
+        monkeypatch.setattr(quality, "BLOCK_ENTRIES", blocks)
+        most = sent = 0
+        assert quality.rules(docs, order=5, folds=2).count() == docs.count()
+        assert sent > 1 and most == 1 and not out
+
+
+def test_keys_that_fit_in_a_part_are_not_split(spark, monkeypatch):
+    rows = [(key, first, 4) for key in ("a", "b", "c") for first in (0, 10, 20)] + [("d", first, 4) for first in range(8)]
+    model = spark.createDataFrame(rows, "key string, first int, entries long")
+    monkeypatch.setattr(quality, "MODEL_ENTRIES", 16)
+    parts = quality._parts(model)
+    times = Counter(key for part in parts for key in part.span)
+    assert [times[key] for key in "abc"] == [1, 1, 1] and times["d"] > 1
+    assert all(part.span[key] == (0, quality.PAIRS) for part in parts for key in part.span if key != "d")
+    ends = [part.span["d"] for part in parts if "d" in part.span]
+    assert ends[0][0] == 0 and ends[-1][1] == quality.PAIRS and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
