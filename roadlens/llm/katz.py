@@ -18,17 +18,20 @@ frequent, has more than one entry per chunk.
 
 A context from which nothing was discounted gets one more in its denominator, so unseen followers
 have a probability; the same holds for the words. Chunks are kept in a table bucketed by chunk, so
-answers come to them without moving the tokens again.
+answers come to them without moving the tokens again. An answer stays a row of its own until it meets its
+chunk in a cogroup: a row with all answers to a chunk would be as large as the chunk's n-grams, and a JVM
+holds such a row once for each sort, join and aggregate it passes. Counts travel compressed.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,18 +49,25 @@ START, END = (kernels.mix(np.array([x], dtype=np.uint64))[0] for x in (0x53, 0x4
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
-    """The lowest ``width`` bytes of whole numbers, byte by byte in planes, which compress well."""
-    whole = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)
-    return whole[:, :width].T.tobytes()
+    """The lowest ``width`` bytes of whole numbers, byte by byte in planes, compressed; their number is ahead."""
+    whole = np.ascontiguousarray(values.astype("<u8", copy=False)).view(np.uint8).reshape(-1, 8)
+    return len(values).to_bytes(8, "little") + pa.compress(whole[:, :width].T.tobytes(), "zstd", asbytes=True)
 
 
-def unpack(data: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(width, -1)
-    whole = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+def unpack(data: bytes | pa.Buffer, width: int) -> np.ndarray:
+    data = pa.py_buffer(data)
+    size = int.from_bytes(data.slice(0, 8), "little")
+    planes = np.frombuffer(pa.decompress(data.slice(8), size * width, "zstd"), dtype=np.uint8).reshape(width, size)
+    whole = np.zeros((size, 8), dtype=np.uint8)
     whole[:, :width] = planes.T
     return whole.view("<u8").ravel()
 
 
+def cells(column: pa.Array | pa.ChunkedArray) -> list[pa.Buffer]:
+    """The values of a binary column where Arrow has them, not copied."""
+    return [x.as_buffer() for x in column]
+
+
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Parts as ranges of the hash, so that sorted hashes have their parts in order."""
     return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
@@ -106,17 +116,23 @@ class Unigrams:
 class Chunk:
     """Documents with their tokens as indices into the chunk's vocabulary (hashes, frequent ones first)."""
 
-    ids: list
+    number: int
+    ids: pa.Array
     train: np.ndarray
     sizes: np.ndarray
     vocabulary: np.ndarray
     tokens: np.ndarray
 
     @classmethod
-    def read(cls, row: dict) -> Chunk:
+    def read(cls, row: pa.RecordBatch | pa.Table) -> Chunk:
+        """The chunk of a single row."""
+        train, sizes, vocabulary, tokens = (
+            cells(row.column(name))[0] for name in ("train", "sizes", "vocabulary", "tokens")
+        )
         return cls(
-            row["doc_id"], np.frombuffer(row["train"], dtype=bool), np.frombuffer(row["sizes"], dtype=np.int64),
-            np.frombuffer(row["vocabulary"], dtype=np.uint64), unpack(row["tokens"], 4).astype(np.int64),
+            row.column("chunk")[0].as_py(), row.column("doc_id")[0].values,
+            np.frombuffer(train, dtype=bool), np.frombuffer(sizes, dtype=np.int64),
+            np.frombuffer(vocabulary, dtype=np.uint64), unpack(tokens, 4).view(np.int64),
         )
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -147,18 +163,23 @@ class Pairs:
 
     @classmethod
     def of(cls, chunk: Chunk, counts: np.ndarray, documents: int, parts: int, limit: float) -> Pairs:
-        context, word = chunk.pairs()
-        key, inverse = np.unique((context << 32) | word, return_inverse=True)
-        context, word = key >> 32, key & 0xFFFFFFFF
-        by_context = np.append(chunk.vocabulary, START)
-        by_word = np.append(chunk.vocabulary, END)
-        hot = np.append(counts, documents)[context] > limit
-        owner = by_context[context]
-        owner = np.where(hot, kernels.mix(owner ^ (by_word[word] * np.uint64(0x9E3779B97F4A7C15))), owner)
-        part = part_of(owner, parts)
+        key, word = chunk.pairs()
+        key <<= 32
+        key |= word
+        del word
+        key, inverse = np.unique(key, return_inverse=True)
+        inverse = inverse.astype(np.int32)
+        context, word = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
+        del key
+        owner = np.append(chunk.vocabulary, START)[context]
+        hot = np.flatnonzero(np.append(counts, documents)[context] > limit)
+        by_word = np.append(chunk.vocabulary, END)[word[hot]]
+        owner[hot] = kernels.mix(owner[hot] ^ (by_word * np.uint64(0x9E3779B97F4A7C15)))
+        part = part_of(owner, parts).astype(np.int32)
+        del owner, hot, by_word
         order = np.argsort(part, kind="stable")
-        back = np.empty(len(order), dtype=np.int64)
-        back[order] = np.arange(len(order))
+        back = np.empty(len(order), dtype=np.int32)
+        back[order] = np.arange(len(order), dtype=np.int32)
         return cls(back[inverse], context[order], word[order], part[order])
 
 
@@ -223,24 +244,30 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
-def _gathered(answers: DataFrame, fields: list[str], name: str) -> DataFrame:
-    """All answers to a chunk in one row, in the order of the parts."""
-    return answers.groupBy(F.col("chunk").alias(f"{name}_chunk")).agg(
-        F.sort_array(F.collect_list(F.struct("part", *fields))).alias(name)
-    )
+def _met(kept: DataFrame, answers: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``fn`` of every chunk and the answers to it. The chunks stay where their buckets are."""
 
+    def meet(chunk: pa.Table, answered: pa.Table) -> pa.Table:
+        made = fn(chunk, answered)
+        pa.default_memory_pool().release_unused()
+        return made
 
-def _joined(kept: DataFrame, *answers: tuple[DataFrame, str]) -> DataFrame:
-    for df, name in answers:
-        kept = kept.join(df.hint("shuffle_merge"), F.col("chunk") == F.col(f"{name}_chunk"))
-    return kept
+    return kept.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(meet, schema)
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def _in_order(answers: pa.Table, of_words: bool, *names: str) -> list[list[pa.Buffer]]:
+    """Columns of the answers about words, or about pairs, in the order of the parts."""
+    answers = answers.filter(pc.equal(answers.column("of_words"), of_words))
+    order = np.argsort(answers.column("part").to_numpy())
+    columns = [cells(answers.column(name)) for name in names]
+    return [[column[i] for i in order] for column in columns]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows one by one; what Arrow keeps of those that are done goes back to the system."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+            yield batch.slice(i, 1)
             pa.default_memory_pool().release_unused()
 
 
@@ -259,15 +286,15 @@ def count_words(kept: DataFrame, parts: int) -> tuple[DataFrame, np.ndarray]:
                 own = slice(edges[p], edges[p + 1])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["chunk"]]), pa.array([p], pa.int32()),
+                        pa.array([chunk.number]), pa.array([p], pa.int32()),
                         pa.array([words[own].tobytes()], pa.binary()), pa.array([pack(used[own], 4)], pa.binary()),
                     ],
                     names=["chunk", "part", "words", "used"],
                 )
 
     def answer(asked: pa.Table) -> pa.Table:
-        words = [np.frombuffer(x, dtype=np.uint64) for x in asked.column("words").to_pylist()]
-        used = np.concatenate([unpack(x, 4) for x in asked.column("used").to_pylist()])
+        words = [np.frombuffer(x, dtype=np.uint64) for x in cells(asked.column("words"))]
+        used = np.concatenate([unpack(x, 4) for x in cells(asked.column("used"))])
         edges = np.cumsum([0, *[len(x) for x in words]])
         known, place = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(place, weights=used, minlength=len(known)).astype(np.int64)
@@ -293,12 +320,13 @@ def count_words(kept: DataFrame, parts: int) -> tuple[DataFrame, np.ndarray]:
     sums = np.zeros(9, dtype=np.int64)
     for (row,) in answers.filter("chunk = -1").select("counts").collect():
         sums += np.frombuffer(row, dtype=np.int64)
-    return _gathered(answers.filter("chunk >= 0"), ["counts"], "words"), sums
+    return answers.filter("chunk >= 0").withColumn("of_words", F.lit(True)), sums
 
 
-def _word_counts(chunk: Chunk, answers: list[dict]) -> np.ndarray:
+def _word_counts(chunk: Chunk, answers: pa.Table) -> np.ndarray:
     counts = np.empty(len(chunk.vocabulary), dtype=np.int64)
-    counts[np.argsort(chunk.vocabulary)] = np.concatenate([unpack(a["counts"], 6) for a in answers])
+    (found,) = _in_order(answers, True, "counts")
+    counts[np.argsort(chunk.vocabulary)] = np.concatenate([unpack(x, 6) for x in found])
     return counts
 
 
@@ -309,52 +337,53 @@ def count_pairs(
     times, and the sums of the contexts that are spread over all parts."""
     limit = unigrams.tokens / parts
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            chunk = Chunk.read(row)
-            counts = _word_counts(chunk, row["words"])
-            pairs = Pairs.of(chunk, counts, documents, parts, limit)
-            used = np.bincount(
-                pairs.inverse, weights=chunk.train[chunk.token_rows()], minlength=len(pairs.context)
-            ).astype(np.int64)
-            by_context, by_word = np.append(chunk.vocabulary, START), np.append(chunk.vocabulary, END)
-            of_word, of_context = np.append(counts, documents), np.append(counts, documents)
-            edges = np.searchsorted(pairs.part, np.arange(parts + 1))
-            for p in np.flatnonzero(np.diff(edges)):
-                own = slice(edges[p], edges[p + 1])
-                context = pairs.context[own]
-                first = np.flatnonzero(np.diff(context, prepend=-1))
-                runs = np.diff(np.append(first, len(context)))
-                yield pa.RecordBatch.from_arrays(
+    def ask(row: pa.Table, answered: pa.Table) -> pa.Table:
+        chunk = Chunk.read(row)
+        counts = _word_counts(chunk, answered)
+        pairs = Pairs.of(chunk, counts, documents, parts, limit)
+        used = np.bincount(pairs.inverse, weights=chunk.train[chunk.token_rows()], minlength=len(pairs.context))
+        by_context, by_word = np.append(chunk.vocabulary, START), np.append(chunk.vocabulary, END)
+        of_any = np.append(counts, documents)
+        edges = np.searchsorted(pairs.part, np.arange(parts + 1))
+        made = []
+        for p in np.flatnonzero(np.diff(edges)):
+            own = slice(edges[p], edges[p + 1])
+            context, word = pairs.context[own], pairs.word[own]
+            first = np.flatnonzero(np.diff(context, prepend=-1))
+            runs = np.diff(np.append(first, len(context)))
+            made.append(
+                pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["chunk"]]), pa.array([p], pa.int32()),
+                        pa.array([chunk.number]), pa.array([p], pa.int32()),
                         *[
                             pa.array([x], pa.binary())
                             for x in (
-                                by_context[context[first]].tobytes(),
-                                (of_context[context[first]] > limit).tobytes(),
-                                pack(runs, 4), pack(by_word[pairs.word[own]], 6), pack(used[own], 4),
-                                pack(of_word[pairs.word[own]], 6),
+                                by_context[context[first]].tobytes(), (of_any[context[first]] > limit).tobytes(),
+                                pack(runs, 4), pack(by_word[word], 6), pack(used[own], 4), pack(of_any[word], 6),
                             )
                         ],
                     ],
                     names=["chunk", "part", "contexts", "hot", "runs", "words", "used", "of_word"],
                 )
+            )
+        return pa.Table.from_batches(made)
 
     def answer(asked: pa.Table) -> pa.Table:
         def column(name: str, width: int) -> list[np.ndarray]:
-            return [unpack(x, width) for x in asked.column(name).to_pylist()]
+            return [unpack(x, width) for x in cells(asked.column(name))]
 
-        contexts = [np.frombuffer(x, dtype=np.uint64) for x in asked.column("contexts").to_pylist()]
+        contexts = [np.frombuffer(x, dtype=np.uint64) for x in cells(asked.column("contexts"))]
         runs = column("runs", 4)
         sizes = [int(r.sum()) for r in runs]
         context = np.concatenate([np.repeat(c, r.astype(np.int64)) for c, r in zip(contexts, runs, strict=True)])
         key = kernels.mix(context * np.uint64(0xD1342543DE82EF95) + np.concatenate(column("words", 6)))
         known, first, place = np.unique(key, return_index=True, return_inverse=True)
+        del key
         total = np.bincount(place, weights=np.concatenate(column("used", 4)), minlength=len(known)).astype(np.int64)
         seen = np.bincount(np.minimum(total, 7), minlength=8)[:7]
         # per context: pairs seen 1 to 5 times, tokens of the others, unigram mass of all that were seen
         all_contexts, of = np.unique(context[first], return_inverse=True)
+        del context
         size = len(all_contexts)
         sums = np.zeros((7, size))
         for r in range(1, DISCOUNTED + 1):
@@ -374,7 +403,7 @@ def count_pairs(
         ]
         hot = np.unique(
             np.concatenate(
-                [c[np.frombuffer(h, dtype=bool)] for c, h in zip(contexts, asked.column("hot").to_pylist(), strict=True)]
+                [c[np.frombuffer(h, dtype=bool)] for c, h in zip(contexts, cells(asked.column("hot")), strict=True)]
             )
         )
         at = np.searchsorted(all_contexts, hot)
@@ -388,9 +417,7 @@ def count_pairs(
         )
 
     schema = "chunk long, part int, contexts binary, hot binary, runs binary, words binary, used binary, of_word binary"
-    asked = _joined(kept, (words, "words")).select(
-        "chunk", "doc_id", "train", "sizes", "vocabulary", "tokens", "words"
-    ).mapInArrow(ask, schema)
+    asked = _met(kept, words, ask, schema)
     answers = stored(
         asked.groupBy("part").applyInArrow(answer, "chunk long, part int, counts binary, sums binary, mass binary"),
         "katz-pairs", "zstd",
@@ -402,7 +429,7 @@ def count_pairs(
         names = np.frombuffer(contexts, dtype=np.uint64)
         for name, own in zip(names.tolist(), np.frombuffer(sums).reshape(7, -1).T, strict=True):
             hot[name] = hot.get(name, 0) + own
-    return _gathered(answers.filter("chunk >= 0"), ["counts", "sums", "mass"], "pairs"), seen, hot
+    return answers.filter("chunk >= 0").withColumn("of_words", F.lit(False)), seen, hot
 
 
 def context_weights(sums: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -431,8 +458,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            train = np.frombuffer(row["train"], dtype=bool)
-            sizes = np.frombuffer(row["sizes"], dtype=np.int64)
+            train = np.frombuffer(cells(row.column("train"))[0], dtype=bool)
+            sizes = np.frombuffer(cells(row.column("sizes"))[0], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(train.sum())]), pa.array([int(sizes.sum() + len(sizes))])], names=["documents", "tokens"]
             )
@@ -453,54 +480,52 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     names = np.array(sorted(hot), dtype=np.uint64)
     hot_sums = np.array([hot[x] for x in names.tolist()]).reshape(-1, 7).T
 
-    def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            chunk = Chunk.read(row)
-            counts = _word_counts(chunk, row["words"])
-            pair = Pairs.of(chunk, counts, documents, parts, limit)
-            found = np.concatenate([unpack(a["counts"], 4) for a in row["pairs"]]).astype(np.int64)
-            # sums of each context, in the order of its runs
-            first = np.flatnonzero((np.diff(pair.context, prepend=-1) != 0) | (np.diff(pair.part, prepend=-1) != 0))
-            own = np.concatenate(
-                [
-                    np.vstack([unpack(a["sums"], 6).reshape(6, -1).astype(float), np.frombuffer(a["mass"])[None, :]])
-                    for a in row["pairs"]
-                ],
-                axis=1,
-            )
-            of_context = np.append(counts, documents)[pair.context[first]]
-            name = np.append(chunk.vocabulary, START)[pair.context[first]]
-            spread = of_context > limit
-            if spread.any():
-                own[:, spread] = hot_sums[:, np.searchsorted(names, name[spread])]
-            total, weight = context_weights(own, ratio)
-            run = np.cumsum(np.bincount(first, minlength=len(pair.context))) - 1
-            of_word = np.append(counts, documents)
-            lower = unigrams.probability(of_word)
-            kept_share = found * ratio[np.where(found <= DISCOUNTED, found, 0)] / np.maximum(total[run], 1)
-            logs = np.log10(np.where(found > 0, kept_share, weight[run] * lower[pair.word]))
-            base = np.log10((of_word + 0.5) / (unigrams.tokens + 0.5 * (unigrams.types + 1)))
-            _, word = chunk.pairs()
-            edges = np.concatenate([[0], np.cumsum(chunk.sizes + 1)])
-
-            def per_row(values: np.ndarray) -> np.ndarray:
-                return np.add.reduceat(values, edges[:-1])
-
-            size = len(chunk.sizes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(chunk.ids, pa.int64()), pa.array(~chunk.train), pa.array(chunk.sizes + 1),
-                    pa.array(per_row((of_word[word] > 0).astype(np.int64))),
-                    pa.array(np.full(size, unigrams.tokens, dtype=np.int64)),
-                    pa.array(per_row(base[word])), pa.array(per_row(logs[pair.inverse])),
-                ],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
+    def evaluate(row: pa.Table, answered: pa.Table) -> pa.Table:
+        chunk = Chunk.read(row)
+        counts = _word_counts(chunk, answered)
+        pair = Pairs.of(chunk, counts, documents, parts, limit)
+        found, sums, mass = _in_order(answered, False, "counts", "sums", "mass")
+        # sums of each context, in the order of its runs
+        first = np.flatnonzero((np.diff(pair.context, prepend=-1) != 0) | (np.diff(pair.part, prepend=-1) != 0))
+        own = np.empty((7, len(first)))
+        at = 0
+        for whole, rest in zip(sums, mass, strict=True):
+            end = at + rest.size // 8
+            own[:6, at:end] = unpack(whole, 6).reshape(6, -1)
+            own[6, at:end] = np.frombuffer(rest)
+            at = end
+        of_any = np.append(counts, documents)
+        spread = of_any[pair.context[first]] > limit
+        if spread.any():
+            name = np.append(chunk.vocabulary, START)[pair.context[first[spread]]]
+            own[:, spread] = hot_sums[:, np.searchsorted(names, name)]
+        total, weight = context_weights(own, ratio)
+        del own
+        run = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(pair.context))))
+        times = np.concatenate([unpack(x, 4) for x in found]).view(np.int64)
+        of_word = of_any[pair.word]
+        new = weight[run] * unigrams.probability(of_word)
+        seen_share = times * ratio[np.where(times <= DISCOUNTED, times, 0)] / np.maximum(total[run], 1)
+        logs = np.log10(np.where(times > 0, seen_share, new))
+        del run, times, new, seen_share
+        base = np.log10((of_word + 0.5) / (unigrams.tokens + 0.5 * (unigrams.types + 1)))
+        edges = np.cumsum(chunk.sizes + 1) - chunk.sizes - 1
+
+        def per_row(values: np.ndarray) -> np.ndarray:
+            """Sums over the tokens of each document, from values of the pairs."""
+            return np.add.reduceat(values[pair.inverse], edges)
+
+        return pa.table(
+            {
+                "doc_id": chunk.ids, "held_out": pa.array(~chunk.train), "n_tokens": pa.array(chunk.sizes + 1),
+                "n_known": pa.array(per_row((of_word > 0).astype(np.int64))),
+                "train_tokens": pa.array(np.full(len(chunk.sizes), unigrams.tokens, dtype=np.int64)),
+                "base_score": pa.array(per_row(base)), "score": pa.array(per_row(logs)),
+            }
+        )
 
-    return _joined(kept, (words, "words"), (pairs, "pairs")).select(
-        "doc_id", "train", "sizes", "vocabulary", "tokens", "words", "pairs"
-    ).mapInArrow(
-        evaluate,
+    return _met(
+        kept, words.unionByName(pairs, allowMissingColumns=True), evaluate,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 

@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from roadlens.llm import katz
@@ -103,3 +104,20 @@ def test_little_input(spark):
     assert katz.score(empty(spark)).count() == 0
     row = katz.score(frame(spark, [(1, None, "en", "a")])).first()
     assert row.n_tokens == 1 and math.isfinite(row.score) and math.isfinite(row.base_score)
+
+
+def test_no_row_holds_all_answers_to_a_chunk(spark):
+    plan = katz.score(frame(spark, documents()))._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+    # the answers alone are moved, not the chunks with their tokens
+    assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning(chunk") == 1
+
+
+@pytest.mark.parametrize("width", [1, 4, 6, 8])
+def test_packed_numbers(width):
+    top = (1 << (8 * width)) - 1
+    for values in ([], [0], [top], [0, 1, 255, 3, top], [1] * 100_000):
+        values = np.array(values, dtype=np.uint64)
+        packed = katz.pack(values, width)
+        assert katz.unpack(packed, width).tolist() == values.tolist()
+        assert len(packed) < 200
