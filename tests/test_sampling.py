@@ -107,3 +107,17 @@ def test_balanced_weights(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "y int")
     got = {r.y: r.class_weight for r in sampling.class_weights(df, "y").distinct().collect()}
     assert got == {0: 8 / 12, 1: 2.0}
+
+
+def test_rows_of_few_strata_and_classes_stay_on_all_tasks(spark):
+    df = spark.range(4000).select(
+        F.col("id").cast("string").alias("k")
+    ).withColumns({"s": F.when(F.length("k") < 9, "only"), "y": (F.length("k") > 0).cast("int")}).repartition(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for marked in (sampling.stratified_split(df, "k", 0.25, ["s"]), sampling.class_weights(df, "y")):
+            tasks = marked.groupBy(F.spark_partition_id()).agg(F.count(marked.columns[-1]).alias("n")).collect()
+            assert len(tasks) == 4 and sum(t.n for t in tasks) == 4000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
