@@ -1,5 +1,6 @@
 """Models on rows with a planted signal."""
 
+import os
 from dataclasses import replace
 
 import numpy as np
@@ -184,3 +185,16 @@ def test_device_effect_and_uplift(clean):
     assert {r.arm: r.r2 > 0.5 for r in made["fuel_details"].collect()} == {"old": True, "new": True}
     assert made["modulators"].count() == 22
     assert made["by_vehicle"].count() == 60
+
+
+def test_rows_of_a_logistic_fit_take_little_room(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+
+    def size():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+
+    slots = [(F.pmod(F.hash("id", F.lit(i)), F.lit(3)) == 0).cast("double") for i in range(24)]
+    df = spark.range(20000).select(F.array(*slots).alias("features"), (F.hash("id") % 2 == 0).cast("int").alias("y"))
+    before = size()
+    assert logistic.fit(df, "y").converged
+    assert size() - before < 20000 * 24 * 8 / 3
